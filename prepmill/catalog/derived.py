@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from prepmill.catalog.registry import table
 from prepmill.plans.loans import NUMBERS
+from prepmill.sources import materialize
 
 # lineitem with nulls put in: three columns miss together on line 3, others alone.
 WITH_NULLS = {
@@ -58,7 +59,7 @@ LOANS = {
     "verification_status": "CASE WHEN l_discount > 0.05 THEN 'Verified' ELSE 'Not Verified' END",
     "int_rate": "concat(CAST(round(l_discount * 100) AS INTEGER), '.5%')",
     **{
-        name: f"concat('', CAST({_MEASURES[i % len(_MEASURES)]} AS INTEGER) + {i})"
+        name: f"concat('', CAST(floor({_MEASURES[i % len(_MEASURES)]}) AS INTEGER) + {i})"
         for i, name in enumerate(NUMBERS)
     },
     # one column misses values, one holds text that is no number
@@ -80,6 +81,11 @@ def derive(spark: SparkSession, folder: str, columns: dict[str, str]) -> DataFra
     )
 
 
+def stored(spark: SparkSession, folder: str, columns: dict[str, str]) -> DataFrame:
+    """The derived table written out, as the raw table of a job that reads it more than once."""
+    return materialize(derive(spark, folder, columns), "raw")
+
+
 def derived_sql(columns: dict[str, str]) -> str:
     """The derived table as a subquery of the checking SQL."""
     return f"(SELECT {select_list(columns)} FROM lineitem)"

@@ -7,7 +7,9 @@ from prepmill.functions.values import (
     keep_or_replace,
     percent_to_double,
     strip_trailing_percent,
+    text_to_double,
     to_double,
+    words_to_double,
 )
 
 __all__ = [
@@ -19,6 +21,8 @@ __all__ = [
     "keep_or_replace",
     "percent_to_double",
     "strip_trailing_percent",
+    "text_to_double",
     "time_of_day",
     "to_double",
+    "words_to_double",
 ]

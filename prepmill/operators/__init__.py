@@ -27,8 +27,14 @@ from prepmill.operators.models import (
     perceptron,
     random_forest,
     save_model,
+    spread,
+)
+from prepmill.operators.nulls import (
+    complete_rows,
+    impute_group_median,
+    null_counts,
+    rows_with_null,
 )
-from prepmill.operators.nulls import impute_group_median, null_counts, rows_with_null
 from prepmill.operators.prepare import cast_to_double, min_max
 from prepmill.operators.profile import box_plot, correlation, profile, reconcile
 from prepmill.operators.quantiles import exact_quantiles, group_median
@@ -42,6 +48,7 @@ __all__ = [
     "box_plot",
     "cast_to_double",
     "chain",
+    "complete_rows",
     "confusion",
     "confusion_rates",
     "correlation",
@@ -68,6 +75,7 @@ __all__ = [
     "rows_with_null",
     "save_model",
     "split_by_key",
+    "spread",
     "stratified_sample",
     "string_index",
     "vector_columns",

@@ -10,9 +10,8 @@ from prepmill.functions import to_double
 
 def average_and_sum(df: DataFrame, key: str, value: str) -> DataFrame:
     """Average and sum per group of a column that may be stored as text."""
-    return df.groupBy(key).agg(
-        F.avg(to_double(value)).alias("average"), F.sum(to_double(value)).alias("total")
-    )
+    number = to_double(df.schema[value])
+    return df.groupBy(key).agg(F.avg(number).alias("average"), F.sum(number).alias("total"))
 
 
 def letter_count(df: DataFrame, column: str) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prepmill.operators.quantiles import group_median
 from prepmill.sources.storage import materialize
@@ -23,6 +24,23 @@ def rows_with_null(df: DataFrame) -> DataFrame:
     return df.filter(reduce(or_, [F.col(name).isNull() for name in df.columns]))
 
 
+def complete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows without a null, or a NaN, in any of the columns: ``dropna`` that reaches the source.
+
+    ``dropna`` counts values inside Spark after reading them. Separate conditions per column are
+    handed to Parquet scans and databases.
+    """
+    names = df.columns if columns is None else list(columns)
+    return df.filter(reduce(and_, [_present(df.schema[name]) for name in names]))
+
+
+def _present(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return column.isNotNull() & ~F.isnan(column)
+    return column.isNotNull()
+
+
 def impute_group_median(
     df: DataFrame,
     group: str,
@@ -41,7 +59,7 @@ def impute_group_median(
     them when the stored size is below its threshold; beyond it the join shuffles, and adaptive
     execution splits a hot group.
     """
-    complete = df.dropna()
+    complete = complete_rows(df)
     if groups is not None:
         complete = complete.filter(F.col(group).isin(list(groups)))
     medians = materialize(

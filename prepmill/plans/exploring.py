@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prepmill.operators import cast_to_double, correlation, null_counts, profile
+from prepmill.operators import cast_to_double, complete_rows, correlation, null_counts, profile
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,7 @@ def explore(
     base table holds ``numbers`` as doubles beside ``others``, without rows that miss a value.
     """
     pair = cast_to_double(df.select(label, driver), [label, driver])
-    base = cast_to_double(df.select(*numbers, *others), numbers).dropna()
+    base = complete_rows(cast_to_double(df.select(*numbers, *others), numbers))
     return Exploration(
         profile=profile(df),
         null_counts=null_counts(df),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from prepmill.functions import keep_or_replace, percent_to_double, to_double
 from prepmill.operators import (
     FEATURES,
+    complete_rows,
     confusion_rates,
     decision_tree,
     feature_pipeline,
@@ -19,6 +20,7 @@ from prepmill.operators import (
     perceptron,
     random_forest,
     random_split,
+    spread,
 )
 from prepmill.operators.features import indexed
 from prepmill.sources import materialize
@@ -90,7 +92,7 @@ def prepare_loans(loans: DataFrame, partitions: int | None = None) -> DataFrame:
     rows evenly before the clean-up; by default the layout of the scan is kept.
     """
     closed = loans.filter(F.col(LABEL).isin(PAID, CHARGED_OFF))
-    present = closed.select(*TEXTS, RATE, *NUMBERS).dropna()
+    present = complete_rows(closed.select(*TEXTS, RATE, *NUMBERS))
     kept = present.filter(F.col("purpose") != EXCLUDED_PURPOSE)
     if partitions is not None:
         kept = kept.repartition(partitions)
@@ -98,7 +100,7 @@ def prepare_loans(loans: DataFrame, partitions: int | None = None) -> DataFrame:
         {
             "emp_length": keep_or_replace("emp_length", NO_EMPLOYMENT, NO_EMPLOYMENT_TEXT),
             RATE: percent_to_double(RATE),
-            **{name: to_double(name) for name in NUMBERS},
+            **{name: to_double(kept.schema[name]) for name in NUMBERS},
         }
     )
     return min_max(clean, SCALED)
@@ -122,13 +124,13 @@ def compare_classifiers(
         "loans",
     )
     train, test = random_split(stored, weights, seed)
-    train = train.dropna()
+    train = complete_rows(train)
     pipeline = feature_pipeline(
         FEATURE_NUMBERS, encode=FEATURE_TEXTS, label=LABEL, invalid=invalid
     )
     features = pipeline.fit(train)
     charged_off = float(label_texts(features, LABEL).index(CHARGED_OFF))
-    vectors = features.transform(train).select(FEATURES, indexed(LABEL))
+    vectors = spread(features.transform(train).select(FEATURES, indexed(LABEL)))
     vectors.persist(StorageLevel.MEMORY_AND_DISK)
     label = indexed(LABEL)
     models = {
