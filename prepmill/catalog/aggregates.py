@@ -99,7 +99,7 @@ def agg_distinct(spark, folder):
 
 @query("agg_letter_count", """
     SELECT letter, count(*) AS count
-    FROM (SELECT unnest(string_split(text, '')) AS letter FROM documents)
+    FROM (SELECT unnest(string_split(text, '')) AS letter FROM documents WHERE text <> '')
     GROUP BY letter ORDER BY count DESC, letter
 """)
 def agg_letter_count(spark, folder):

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from prepmill.catalog.registry import table
+from prepmill.operators import spread
 from prepmill.plans.loans import NUMBERS
 from prepmill.sources import materialize
 
@@ -76,14 +77,16 @@ def select_list(columns: dict[str, str]) -> str:
 
 def derive(spark: SparkSession, folder: str, columns: dict[str, str]) -> DataFrame:
     """The derived table in Spark."""
-    return table(spark, folder, "lineitem").selectExpr(
-        *[f"{expression} AS {name}" for name, expression in columns.items()]
-    )
+    return _select(table(spark, folder, "lineitem"), columns)
 
 
 def stored(spark: SparkSession, folder: str, columns: dict[str, str]) -> DataFrame:
     """The derived table written out, as the raw table of a job that reads it more than once."""
-    return materialize(derive(spark, folder, columns), "raw")
+    return materialize(_select(spread(table(spark, folder, "lineitem")), columns), "raw")
+
+
+def _select(lines: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return lines.selectExpr(*[f"{expression} AS {name}" for name, expression in columns.items()])
 
 
 def derived_sql(columns: dict[str, str]) -> str:

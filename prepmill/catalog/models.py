@@ -39,11 +39,10 @@ def ml_linear_regression(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
     vectors = assemble(["l_quantity"]).transform(lines)
     model = linear_regression("l_extendedprice").fit(vectors)
-    # the model's two numbers beside the size of the table they were fitted on
-    return lines.limit(1).select(
-        F.round(F.lit(float(model.coefficients[0])), 4).alias("slope"),
-        F.round(F.lit(float(model.intercept)), 4).alias("intercept"),
+    found = spark.createDataFrame(
+        [(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double"
     )
+    return found.select(*[F.round(name, 4).alias(name) for name in found.columns])
 
 
 def _priced(spark, folder):

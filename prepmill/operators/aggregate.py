@@ -21,7 +21,8 @@ def letter_count(df: DataFrame, column: str) -> DataFrame:
     character and task is shuffled. Equal counts are ordered by character.
     """
     return (
-        df.select(F.explode(F.split(column, "")).alias("letter"))
+        df.filter(F.col(column) != "")  # splitting empty text gives one empty letter
+        .select(F.explode(F.split(column, "")).alias("letter"))
         .groupBy("letter")
         .count()
         .orderBy(F.desc("count"), "letter")

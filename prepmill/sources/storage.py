@@ -14,7 +14,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     A temporary folder of this machine is used only where the setting is missing and the
     executors run inside the driver's own process (local mode).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
