@@ -47,16 +47,17 @@ def ml_linear_regression(spark, folder):
 
 def _priced(spark, folder):
     price = F.when(F.col("l_extendedprice") > 50000, "high").otherwise("low")
-    return table(spark, folder, "lineitem").select(
+    lines = table(spark, folder, "lineitem").select(
         "l_orderkey", *_TEXTS, *_NUMBERS, price.alias("price")
     )
+    return spread(lines)
 
 
 def _classify(spark, folder, build):
     """Fit on four fifths of the orders and score the rest; one row of counts and rates."""
     train, test = split_by_key(_priced(spark, folder), "l_orderkey", 80)
     features = feature_pipeline(_NUMBERS, encode=_TEXTS, label="price").fit(train)
-    vectors = spread(features.transform(train).select(FEATURES, indexed("price")))
+    vectors = features.transform(train).select(FEATURES, indexed("price"))
     vectors.persist(StorageLevel.MEMORY_AND_DISK)
     model = build(vectors).fit(vectors)
     vectors.unpersist()
@@ -89,7 +90,7 @@ def ml_model_save_load(spark, folder):
     """A saved and reloaded model predicts what the fitted one does, for every row."""
     priced = _priced(spark, folder)
     features = feature_pipeline(_NUMBERS, encode=_TEXTS, label="price").fit(priced)
-    tree = decision_tree(indexed("price")).fit(spread(features.transform(priced)))
+    tree = decision_tree(indexed("price")).fit(features.transform(priced))
     model = chain(features, tree)
     path = scratch_path(spark, "model")
     save_model(model, path)

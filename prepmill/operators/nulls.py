@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,17 +28,15 @@ def complete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     """Rows without a null, or a NaN, in any of the columns: ``dropna`` that reaches the source.
 
     ``dropna`` counts values inside Spark after reading them. Separate conditions per column are
-    handed to Parquet scans and databases.
+    handed to Parquet scans and databases. Fractional columns are left to ``dropna``, which tests
+    for null and NaN while evaluating the column once.
     """
     names = df.columns if columns is None else list(columns)
-    return df.filter(reduce(and_, [_present(df.schema[name]) for name in names]))
-
-
-def _present(field: T.StructField) -> Column:
-    column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return column.isNotNull() & ~F.isnan(column)
-    return column.isNotNull()
+    fractional = (T.DoubleType, T.FloatType)
+    floats = [name for name in names if isinstance(df.schema[name].dataType, fractional)]
+    others = [F.col(f"`{name}`").isNotNull() for name in names if name not in floats]
+    kept = df.filter(reduce(and_, others)) if others else df
+    return kept.dropna(subset=floats) if floats else kept
 
 
 def impute_group_median(
