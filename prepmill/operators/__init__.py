@@ -38,7 +38,12 @@ from prepmill.operators.nulls import (
 from prepmill.operators.prepare import cast_to_double, min_max
 from prepmill.operators.profile import box_plot, correlation, profile, reconcile
 from prepmill.operators.quantiles import exact_quantiles, group_median
-from prepmill.operators.split import random_split, split_by_key, stratified_sample
+from prepmill.operators.split import (
+    random_split,
+    split_by_key,
+    stored_random_split,
+    stratified_sample,
+)
 
 __all__ = [
     "FEATURES",
@@ -76,6 +81,7 @@ __all__ = [
     "save_model",
     "split_by_key",
     "spread",
+    "stored_random_split",
     "stratified_sample",
     "string_index",
     "vector_columns",

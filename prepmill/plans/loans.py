@@ -19,11 +19,10 @@ from prepmill.operators import (
     min_max,
     perceptron,
     random_forest,
-    random_split,
     spread,
+    stored_random_split,
 )
 from prepmill.operators.features import indexed
-from prepmill.sources import materialize
 
 # Columns and values of the loan table.
 LABEL = "loan_status"
@@ -116,14 +115,13 @@ def compare_classifiers(
 
     Only the columns the models use are stored, next to a flag for rows without any null; rows
     with nulls elsewhere may train but are not scored. Features are fitted once and shared by the
-    three models, and each model is scored by a single aggregate.
+    three models, which score the held-out rows side by side, in one scan and one aggregate.
     """
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in prepared.columns])
-    stored = materialize(
-        prepared.select(LABEL, *FEATURE_TEXTS, *FEATURE_NUMBERS, complete.alias("complete")),
-        "loans",
+    used = prepared.select(
+        LABEL, *FEATURE_TEXTS, *FEATURE_NUMBERS, complete.alias("complete")
     )
-    train, test = random_split(stored, weights, seed)
+    train, test = stored_random_split(used, weights, seed, "loans")
     train = complete_rows(train)
     pipeline = feature_pipeline(
         FEATURE_NUMBERS, encode=FEATURE_TEXTS, label=LABEL, invalid=invalid
@@ -139,11 +137,13 @@ def compare_classifiers(
         "perceptron": perceptron(label, vectors).fit(vectors),
     }
     vectors.unpersist()
-    held_out = features.transform(test.filter("complete")).select(FEATURES, label)
-    scores = [
-        confusion_rates(model.transform(held_out), label, "prediction", charged_off).select(
-            F.lit(name).alias("model"), "*"
-        )
-        for name, model in models.items()
-    ]
-    return reduce(DataFrame.unionByName, scores)
+    scored = features.transform(test.filter("complete")).select(FEATURES, label)
+    for name, model in models.items():
+        # only the predicted class is needed, under a name of its own
+        model.setPredictionCol(name).setRawPredictionCol("").setProbabilityCol("")
+        scored = model.transform(scored)
+    predictions = F.array(
+        *[F.struct(F.lit(name).alias("model"), F.col(name).alias("prediction")) for name in models]
+    )
+    by_model = scored.select(label, F.inline(predictions))
+    return confusion_rates(by_model, label, "prediction", charged_off, by=["model"])

@@ -33,6 +33,7 @@ from prepmill.operators import (
     residuals,
     rows_with_null,
     split_by_key,
+    stored_random_split,
     stratified_sample,
 )
 
@@ -291,6 +292,17 @@ def test_random_split_covers_and_repeats(spark):
     assert a == {r.id for r in random_split(df, [0.8, 0.2], seed=12)[0].collect()}
 
 
+def test_stored_split_covers_and_stays(spark):
+    df = spark.range(0, 6000, numPartitions=5)
+    parts = stored_random_split(df, [3, 1, 1], seed=4, label="split")
+    first = [{r.id for r in part.collect()} for part in parts]
+    again = [{r.id for r in part.repartition(3).collect()} for part in parts]
+    assert first == again and set.union(*first) == set(range(6000))
+    assert sum(map(len, first)) == 6000 and 3400 < len(first[0]) < 3800
+    assert parts[0].columns == ["id"]
+    assert "Sort" not in parts[0]._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("key", ["id", "text"])
 def test_split_by_key_does_not_depend_on_partitions(spark, key):
     df = spark.range(-50, 3000).select("id", F.concat(F.lit("k"), "id").alias("text"))
@@ -342,6 +354,14 @@ def test_classification_scores(spark):
     assert share == pytest.approx(evaluator.evaluate(df) * 100) == pytest.approx(rates.accuracy)
 
 
+def test_rates_per_group(spark):
+    rows = [("m", 1.0, 1.0), ("m", 0.0, 1.0), ("k", 1.0, 0.0), ("k", 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "model string, y double, p double")
+    rates = {r.model: r for r in confusion_rates(df, "y", "p", 1.0, by=["model"]).collect()}
+    assert rates["m"].true_positive_rate == 100.0 and rates["m"].true_negative_rate == 0.0
+    assert rates["k"].true_positive_rate == 0.0 and rates["k"].accuracy == 50.0
+
+
 def test_rates_of_a_class_without_members(spark):
     df = spark.createDataFrame([(0.0, 0.0)], "y double, p double")
     rates = confusion_rates(df, "y", "p", 1.0).first()
