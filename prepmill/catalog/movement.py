@@ -156,7 +156,7 @@ def job_load_and_reconcile(spark, folder):
     path = scratch_path(spark, "customer-csv")
     write_csv(table(spark, folder, "customer"), path, header=True)
     compared = load_and_reconcile(
-        spark, path, fresh_database_table(spark), _CUSTOMER_TYPES, "c_custkey", 4
+        spark, path, fresh_database_table(spark), "c_custkey", 4, _CUSTOMER_TYPES
     )
     return compared.select("column_name", "source_present", "target_present", "matches")
 

@@ -103,7 +103,7 @@ def test_database_round_trip_in_parts(spark, database):
     df = spark.range(1000).select(F.col("id"), (F.col("id") / 4).alias("x"), F.lit("a").alias("t"))
     write_table(df, database, "t VARCHAR(8)")
     write_table(df, database, "t VARCHAR(8)")
-    whole = read_table(spark, database)
+    whole = read_table(spark, database, one_task=True)
     parts = read_table(spark, database, partition_column="id", num_partitions=4)
     assert sorted(pairs(whole)) == sorted(pairs(parts)) == sorted(pairs(df))
     assert parts.rdd.getNumPartitions() == 4 and whole.rdd.getNumPartitions() == 1
@@ -113,6 +113,11 @@ def test_database_round_trip_in_parts(spark, database):
     assert "GreaterThan(x,3.0)" in plan
 
 
+def test_a_read_says_how_it_is_split(spark, database):
+    with pytest.raises(ValueError, match="partition column"):
+        read_table(spark, database)
+
+
 def test_empty_database_table(spark, database):
     df = spark.range(0)
     write_table(df, database)
@@ -127,7 +132,7 @@ def test_ingest(spark, database, tmp_path):
 
 def test_load_and_reconcile(spark, database, tmp_path):
     write_csv(spark.range(500).selectExpr("id", "id / 7 AS x", "concat('t', id) AS t"), str(tmp_path / "c"), header=True)
-    compared = load_and_reconcile(spark, str(tmp_path / "c"), database, "t VARCHAR(16)", "id", 2)
+    compared = load_and_reconcile(spark, str(tmp_path / "c"), database, "id", 2, "t VARCHAR(16)")
     assert [r.matches for r in compared.collect()] == [True, True, True]
 
 
