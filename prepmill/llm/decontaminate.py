@@ -29,10 +29,8 @@ IS_WORD = np.zeros(256, dtype=bool)
 IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
 FILTER_BITS = 22
 
-SCANNED = (
-    "doc_id long, text string, n_words long, "
-    "spans array<struct<first:long,last:long,start:long,end:long>>, items array<string>"
-)
+SPANS = "array<struct<first:long,last:long,start:long,end:long>>"
+OUTPUTS = ("n_words", "spans", "items")
 
 
 def ascii_lower(text: Column) -> Column:
@@ -86,10 +84,14 @@ def _scanner(block) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
         maybe = np.zeros(1 << FILTER_BITS, dtype=bool)
         maybe[known.hashes >> np.uint64(64 - FILTER_BITS)] = True
         for batch in batches:
-            rows = {name: batch.column(name).to_pylist() for name in batch.schema.names}
-            for first, group in chunks(rows["text"]):
+            rows = {name: batch.column(name).to_pylist() for name in OUTPUTS}
+            for first, group in chunks(batch.column("text").to_pylist()):
                 _scan_group(known, maybe, rows, first, group)
-            yield pa.RecordBatch.from_pydict(rows, schema=batch.schema)
+            fields = {f.name: f for f in batch.schema}
+            columns = [
+                pa.array(rows[n], fields[n].type) if n in rows else batch.column(n) for n in batch.schema.names
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return scan
 
@@ -144,23 +146,28 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def scan_documents(
-    documents: DataFrame, benchmark: DataFrame, n: int = 10, max_windows: int = 1_000_000
+    documents: DataFrame,
+    benchmark: DataFrame,
+    n: int = 10,
+    max_windows: int = 1_000_000,
+    carried: list[str] | None = None,
 ) -> DataFrame:
-    """Per document: doc_id, text, n_words, the hit runs of words (``spans``, word numbers and UTF-8
-    byte offsets) and the ids of the items with occurring windows (``items``, sorted as texts)."""
+    """The columns ``carried`` (doc_id and text at least, and no others by default) of each document, with its number
+    of words (``n_words``), the runs of hit words (``spans``: word numbers and UTF-8 byte offsets) and the ids of the
+    items with occurring windows (``items``, sorted as texts). Columns so named are replaced."""
     spark = documents.sparkSession
     windows = benchmark_windows(benchmark, n)
     blocks = max(1, math.ceil(windows.count() / max_windows))
+    kept = [c for c in carried or ["doc_id", "text"] if c not in OUTPUTS]
     scanned = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
+        *(F.col(f"`{c}`").cast("string").alias(c) if c == "text" else F.col(f"`{c}`") for c in kept),
         F.lit(0).cast("long").alias("n_words"),
-        F.expr("cast(array() as array<struct<first:long,last:long,start:long,end:long>>)").alias("spans"),
+        F.expr(f"cast(array() as {SPANS})").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("items"),
     )
     for block in range(blocks):
         rows = windows.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block).collect()
-        scanned = scanned.mapInArrow(_scanner(spark.sparkContext.broadcast(WindowSet(rows))), SCANNED)
+        scanned = scanned.mapInArrow(_scanner(spark.sparkContext.broadcast(WindowSet(rows))), scanned.schema)
     return scanned
 
 

@@ -182,7 +182,7 @@ def _send_windows(length: int, buckets: int):
     return run
 
 
-def _cut(length: int, buckets: int, text_at: int):
+def _cut(length: int, buckets: int, text_at: int, as_text: bool):
     def run(rows: pa.Table, windows: pa.Table) -> pa.Table:
         known = _Known(windows, buckets, np.uint64)
         out: dict[str, list] = {name: [] for name in OUTPUTS}
@@ -200,18 +200,22 @@ def _cut(length: int, buckets: int, text_at: int):
                 out["n_bytes"].append(len(text))
                 out["n_removed"].append(int(own.sum()))
                 out["n_spans"].append(int((np.diff(own.view(np.int8), prepend=0) == 1).sum()))
-                out["kept"].append(data[start : start + len(text)][~own].tobytes())
+                kept = data[start : start + len(text)][~own].tobytes()
+                out["kept"].append(kept.decode(errors="ignore") if as_text else kept)
         columns = [rows.column(i) for i in range(1, rows.num_columns)]
         names = rows.column_names[1:]
-        columns += [pa.array(out[n], pa.int64()) for n in OUTPUTS[:3]] + [pa.array(out["kept"], pa.binary())]
+        columns += [pa.array(out[n], pa.int64()) for n in OUTPUTS[:3]] + [pa.array(out["kept"], pa.string() if as_text else pa.binary())]
         return pa.table(columns, names=[*names, *OUTPUTS])
 
     return run
 
 
-def cut_repeats(documents: DataFrame, length: int = 400, buckets: int | None = None) -> DataFrame:
+def cut_repeats(
+    documents: DataFrame, length: int = 400, buckets: int | None = None, as_text: bool = False
+) -> DataFrame:
     """``documents`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the bytes of ``text`` that
-    no string of ``length`` bytes covers that also starts anywhere else."""
+    no string of ``length`` bytes covers that also starts anywhere else. ``as_text`` gives ``kept`` as text, without the
+    bytes of a character that a cut has split."""
     if length < PERIOD:
         raise ValueError(f"length must be {PERIOD} or more")
     spark = documents.sparkSession
@@ -229,8 +233,8 @@ def cut_repeats(documents: DataFrame, length: int = 400, buckets: int | None = N
     schema = StructType(stored.schema.fields[1:])
     for name in OUTPUTS[:3]:
         schema.add(name, "long", nullable=False)
-    schema.add("kept", "binary", nullable=False)
-    cut = _cut(length, buckets, stored.columns.index("text"))
+    schema.add("kept", "string" if as_text else "binary", nullable=False)
+    cut = _cut(length, buckets, stored.columns.index("text"), as_text)
     return stored.groupBy("__part").cogroup(windows.groupBy("__part")).applyInArrow(cut, schema)
 
 
