@@ -1,15 +1,16 @@
 """Toxicity by a support vector machine with a subsequence string kernel and Nyström landmarks.
 
 The kernel counts common subsequences of three symbols, each occurrence weighted by ``DECAY`` to the power
-of the span it takes (up to ``REACH`` bytes), so an insult with inserted or missing characters stays close to
+of the span it takes (up to ``REACH`` bytes); the beginning and the end of a word are symbols
+too. So an insult with inserted or missing characters stays close to
 the plain one. A sentence is scored by its best word (letters spaced out singly count as one word), a
 document by its best sentence.
 
 Training is of the multiple-instance kind, since labels are given for whole texts: the sentences of clean texts are
 clean in every word, those of a toxic text are toxic in at least one. Witness words are the few, far commoner in toxic
 texts, that together explain them, and those common in toxic texts and in no clean one; landmarks are drawn from witnesses and clean words, the kernel against them is whitened
-(Nyström), and a linear machine with squared hinge loss is fitted, three times, each time with the
-clean words it got most wrong added. Witnesses are also shown with characters inserted.
+(Nyström), and a linear machine with squared hinge loss is fitted, four times, each time with the
+clean words it got most wrong added, to the examples and to the landmarks. Witnesses are also shown with characters inserted.
 The result collapses into one weight per subsequence, so scoring is a scan over byte arrays.
 
 At most ``max_documents`` labelled texts per class and ``max_words`` of their distinct words are used for the
@@ -43,22 +44,37 @@ SYMBOL[97:123] = np.arange(1, 27)
 SYMBOL[128:192] = np.arange(27, 91)
 SYMBOL[192:] = 91
 SYMBOL[48:58] = 92
-SYMBOLS = 94
+START, END = 94, 95
+SYMBOLS = 96
 IS_LETTER = (SYMBOL > 0) & (SYMBOL < 92)
 
 
-def units(data: np.ndarray, text_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start of each unit, unit of each byte): words, with runs of single characters as one unit."""
+def spaced(group: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The texts in lower case with a space before and after each, and the start of each text."""
+    data, text_starts = joined(group)
+    return LOWER[np.append(np.uint8(32), data)], text_starts + 1
+
+
+def coded(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(symbol and unit of each byte, start and end of each unit) of units that begin at ``starts``; a unit takes the
+    space before it, which stands for its beginning, and ends with its last byte that is no white space."""
+    codes, mark = SYMBOL[data], np.zeros(len(data), dtype=np.int32)
+    solid = np.flatnonzero(codes > 0)
+    ends = solid[np.append(np.searchsorted(solid, starts[1:]), len(solid)) - 1] + 1
+    codes[starts - 1] = START
+    mark[starts - 1] = 1
+    return codes, np.cumsum(mark, dtype=np.int32) - 1, starts - 1, ends
+
+
+def units(data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
+    """Where units begin: words, with runs of single characters as one unit."""
     starts, ends = word_spans(SYMBOL[data] > 0)
     single = ends - starts == 1
     begins = np.ones(len(starts), dtype=bool)
     begins[1:] = ~(single[1:] & single[:-1] & (starts[1:] == ends[:-1] + 1))
     first = np.searchsorted(starts, text_starts)
     begins[first[first < len(starts)]] = True
-    starts = starts[begins]
-    mark = np.zeros(len(data), dtype=np.int32)
-    mark[starts] = 1
-    return starts, np.cumsum(mark, dtype=np.int32) - 1
+    return starts[begins]
 
 
 def subsequences(codes: np.ndarray, unit: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
@@ -77,6 +93,17 @@ def subsequences(codes: np.ndarray, unit: np.ndarray) -> Iterator[tuple[float, n
             yield DECAY ** (last + 1), number
 
 
+def endings(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
+    """(weight, number of the subsequence that stops with the end of each unit) for each pair of gaps; 0 where it would
+    begin before the unit."""
+    for first in range(2, REACH + 1):
+        inside = ends - first >= starts
+        at = codes[np.maximum(ends - first, 0)] * (SYMBOLS * SYMBOLS) + END
+        for middle in range(1, first):
+            code = codes[ends - middle]
+            yield DECAY ** (first + 1), np.where(inside & (code > 0), at + code * SYMBOLS, 0)
+
+
 def _scale(codes_letters: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """A length scale of each unit, by its letters."""
     return np.sqrt(np.maximum(np.add.reduceat(codes_letters.astype(np.float64), starts) - 1, 1))
@@ -91,17 +118,19 @@ class Model:
 
     def decisions(self, group: list[bytes]) -> np.ndarray:
         """The best decision value over the units of each text."""
-        data, text_starts = joined(group)
-        data = LOWER[data]
+        data, text_starts = spaced(group)
         best = np.full(len(group), EMPTY)
-        starts, unit = units(data, text_starts)
+        starts = units(data, text_starts)
         if len(starts):
-            codes = SYMBOL[data]
+            edges = np.append(np.searchsorted(starts, text_starts), len(starts))
+            codes, unit, starts, ends = coded(data, starts)
             total = np.zeros(len(data) + 1, dtype=np.float32)
             for weight, number in subsequences(codes, unit):
                 total[: len(number)] += np.float32(weight) * self.weights[number]
-            value = np.add.reduceat(total[:-1].astype(np.float64), starts) / _scale(IS_LETTER[data], starts) + self.bias
-            edges = np.append(np.searchsorted(starts, text_starts), len(starts))
+            value = np.add.reduceat(total[:-1].astype(np.float64), starts)
+            for weight, number in endings(codes, starts, ends):
+                value += weight * self.weights[number]
+            value = value / _scale(IS_LETTER[data], starts) + self.bias
             held = np.flatnonzero(np.diff(edges) > 0)
             best[held] = np.maximum(np.maximum.reduceat(value, edges[held]), EMPTY)
         return best
@@ -117,10 +146,11 @@ class _Kernel:
     """Kernel values of words against the landmarks."""
 
     def __init__(self, landmarks: list[bytes]):
-        data, starts = joined(landmarks)
-        data = LOWER[data]
-        unit = np.repeat(np.arange(len(landmarks), dtype=np.int32), np.diff(np.append(starts, len(data))))
-        found = [(w, n[n > 0], unit[: len(n)][n > 0]) for w, n in subsequences(SYMBOL[data], unit)]
+        data, starts = spaced(landmarks)
+        codes, unit, starts, ends = coded(data, starts)
+        rows = np.arange(len(starts))
+        found = [(w, n[n > 0], unit[: len(n)][n > 0]) for w, n in subsequences(codes, unit)]
+        found += [(w, n[n > 0], rows[n > 0]) for w, n in endings(codes, starts, ends)]
         numbers = np.unique(np.concatenate([n for _, n, _ in found]))
         self.numbers, self.column = numbers, np.full(SYMBOLS**3, -1, dtype=np.int32)
         self.column[numbers] = np.arange(len(numbers))
@@ -132,16 +162,18 @@ class _Kernel:
     def of(self, words: list[bytes]) -> np.ndarray:
         out = []
         for a in range(0, len(words), 4000):
-            data, starts = joined(words[a : a + 4000])
-            data = LOWER[data]
-            unit = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(data))))
+            data, starts = spaced(words[a : a + 4000])
+            codes, unit, starts, ends = coded(data, starts)
             total = np.zeros((len(starts), self.features.shape[1]), dtype=np.float32)
-            for weight, number in subsequences(SYMBOL[data], unit):
+            for weight, number in subsequences(codes, unit):
                 at = np.flatnonzero(self.column[number] >= 0)
                 if len(at):
                     rows, first = np.unique(unit[at], return_index=True)
                     summed = np.add.reduceat(self.features[self.column[number[at]]], first, axis=0)
                     total[rows] += np.float32(weight) * summed
+            for weight, number in endings(codes, starts, ends):
+                rows = np.flatnonzero(self.column[number] >= 0)
+                total[rows] += np.float32(weight) * self.features[self.column[number[rows]]]
             out.append(total / _scale(IS_LETTER[data], starts)[:, None])
         return np.concatenate(out)
 
@@ -174,27 +206,29 @@ def _fit_words(witnesses: list[bytes], clean: list[bytes], landmarks: int) -> Mo
             shown.append((letters[:at] + mark + letters[at:]).encode())
             shown.append((letters[:at] + letters[at - 1] + letters[at:]).encode())
     pick = lambda words, n: [words[i] for i in rng.permutation(len(words))[:n]]
-    kernel = _Kernel(pick(witnesses, landmarks * 3 // 4) + pick(clean, landmarks // 4))
-    own = kernel.features.T @ kernel.features
-    values, vectors = np.linalg.eigh(own.astype(np.float64))
-    whiten = vectors / np.sqrt(np.maximum(values, 1e-3 * values.max()))
-    toxic, hard = kernel.of(shown) @ whiten, pick(clean, 8000)
-    for _ in range(3):
-        x = np.vstack([toxic, kernel.of(hard) @ whiten])
-        y = np.append(np.ones(len(toxic)), -np.ones(len(hard)))
-        w = _squared_hinge(x, y, np.where(y > 0, 4000 / len(toxic), 20000 / len(hard)))
+    hard, worst = pick(clean, 8000), []
+    for _ in range(4):
+        others = list(dict.fromkeys([*worst[: landmarks // 4], *pick(clean, landmarks // 4)]))
+        kernel = _Kernel(pick(witnesses, landmarks // 2) + others)
+        own = kernel.features.T @ kernel.features
+        values, vectors = np.linalg.eigh(own.astype(np.float64))
+        whiten = vectors / np.sqrt(np.maximum(values, 1e-3 * values.max()))
+        x = np.vstack([kernel.of(shown), kernel.of(hard)]) @ whiten
+        y = np.append(np.ones(len(shown)), -np.ones(len(hard)))
+        w = _squared_hinge(x, y, np.where(y > 0, 4000 / len(shown), 20000 / len(hard)))
         weights = np.zeros(SYMBOLS**3, dtype=np.float32)
         weights[kernel.numbers] = kernel.features @ (whiten @ w[:-1]).astype(np.float32)
         model = Model(weights, float(w[-1]))
-        worst = np.argsort(-np.concatenate([model.decisions(g) for _, g in chunks(clean)]))[:2000]
-        hard = list(dict.fromkeys([*hard, *(clean[i] for i in worst)]))
+        order = np.argsort(-np.concatenate([model.decisions(g) for _, g in chunks(clean)]))[:2000]
+        worst = [clean[i] for i in order]
+        hard = list(dict.fromkeys([*hard, *worst]))
     return model
 
 
 def _calibrated(model: Model, decisions: np.ndarray, toxic: np.ndarray) -> Model:
-    """Slope and shift of the logistic curve over the decision values of whole texts, classes weighted alike."""
+    """Slope and shift of the logistic curve over the decision values of whole texts."""
     x = np.stack([decisions, np.ones(len(decisions))], axis=1)
-    weight = np.where(toxic, 0.5 / max(toxic.sum(), 1), 0.5 / max((~toxic).sum(), 1))
+    weight = np.full(len(decisions), 1 / max(len(decisions), 1))
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -236,7 +270,7 @@ def fit(
     trainable: Column,
     max_documents: int = 2000,
     max_words: int = 150_000,
-    landmarks: int = 160,
+    landmarks: int = 240,
 ) -> Model:
     """The model learned from the labels (doc_id, toxic) of rows for which ``trainable`` holds."""
     sample = F.broadcast(labelled_sample(labels, "toxic", trainable, max_documents))

@@ -50,7 +50,7 @@ class Pivots:
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for length in {len(r) for r in rows}:
             own = [i for i, r in enumerate(rows) if len(r) == length]
-            self.by_length[length] = np.array(own), np.array([rows[i] for i in own], dtype=np.float64).reshape(-1, length)
+            self.by_length[length] = np.array(own), np.array([rows[i] for i in own], dtype=np.float64).reshape(len(own), length)
 
     def of(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         return self.by_length.get(length) or (np.array([-1 - length]), np.zeros((1, length)))
