@@ -9,9 +9,12 @@ suffix sort, cut off at the depth the question needs:
    names that occur once are settled, no recursion is needed as the wanted depth is finite;
 2. the remaining suffixes, sampled or not, that may begin a repeated string are those up to 272 bytes
    before a repeated name; they are merged into one order of their ``length``-byte prefixes;
-3. neighbours in that order are compared: an equal neighbour marks all bytes of the string.
+3. neighbours in that order are compared: an equal neighbour marks all bytes of the string. Stretches
+   between content-chosen anchors go first, as one string each: a stretch that occurs twice settles all
+   windows in it. Only windows outside such stretches ask one by one, and one part for each repeated
+   stretch tells its windows, so that those who ask learn of them.
 
-The documents are stored once in parts of ``PART_ROWS`` rows. A part sends each name once (twice if
+The documents are stored once in parts of ``PART_ROWS`` rows, bucketed by part, so texts are never shuffled. A part sends each name once (twice if
 it occurs in the part more than once), so a string that a third of all documents holds costs one or
 two entries per part, and buckets of names are even whatever the text. Prefixes are compared by
 64-bit hashes of their bytes; round 1 keeps 32 bits within a bucket, which can only add candidates.
@@ -26,10 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from prepmill.llm.buckets import bucketed
 from prepmill.llm.textbytes import chunks, joined, mixed, powers, prefix_sums
 from prepmill.sources.storage import materialize
 
@@ -37,7 +42,10 @@ PART_ROWS = 4096
 #: A perfect difference set, every shift modulo 273 is a difference of two members.
 PERIOD = 273
 COVER = [1, 2, 4, 8, 16, 32, 64, 91, 117, 128, 137, 182, 195, 205, 234, 239, 256]
-SENT = "__part long, bucket int, hashes binary"
+#: Stretches between anchors are compared whole; about one position in so many is an anchor.
+ANCHOR_EVERY = 64
+ANCHOR_BYTES = 16
+SENT = "__part long, bucket int, hashes binary, kind string"
 OUTPUTS = ("n_bytes", "n_removed", "n_spans", "kept")
 
 
@@ -66,25 +74,28 @@ def _sampled(group: list[bytes], starts: np.ndarray, length: int) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
 
 
-def _send(part: int, hashes: np.ndarray, buckets: int, kind: type) -> Iterator[tuple[int, int, bytes]]:
+def _send(
+    part: int, hashes: np.ndarray, buckets: int, width: type, kind: str = "asked"
+) -> Iterator[tuple[int, int, bytes, str]]:
     """Each distinct hash once, or twice if it occurs more often, by bucket."""
     distinct, counts = np.unique(hashes, return_counts=True)
     bucket = (distinct % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     distinct, counts, bucket = distinct[order], counts[order], bucket[order]
     edges = np.searchsorted(bucket, np.arange(buckets + 1))
-    values = (distinct >> np.uint64(64 - 8 * np.dtype(kind).itemsize)).astype(kind)
+    values = (distinct >> np.uint64(64 - 8 * np.dtype(width).itemsize)).astype(width)
     for b in range(buckets):
         if edges[b] < edges[b + 1]:
             own = values[edges[b] : edges[b + 1]]
             twice = own[counts[edges[b] : edges[b + 1]] > 1]
-            yield part, b, np.concatenate([own, twice]).tobytes()
+            yield part, b, np.concatenate([own, twice]).tobytes(), kind
 
 
-def _as_batch(rows: list[tuple[int, int, bytes]]) -> pa.Table:
-    columns = list(zip(*rows, strict=True)) or [(), (), ()]
-    kinds = (pa.int64(), pa.int32(), pa.binary())
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["__part", "bucket", "hashes"])
+def _as_batch(rows: list[tuple[int, int, bytes, str]]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.string())
+    names = ["__part", "bucket", "hashes", "kind"]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
 def _send_names(length: int, buckets: int):
@@ -106,21 +117,31 @@ def _send_names(length: int, buckets: int):
     return run
 
 
-def _repeated(kind: type):
-    """Of the hashes of a bucket, those that occur more than once, back to each part that sent them."""
+def _repeated(width: type, kind: str):
+    """Of the hashes of a bucket, those that occur more than once, back to each part that asked for them, as ``kind``.
+    Segments also go, as "owned", to one of the parts that have them."""
 
     def run(table: pa.Table) -> pa.Table:
-        sent = [np.frombuffer(x, dtype=kind) for x in table.column("hashes").to_pylist()]
-        every = np.sort(np.concatenate(sent))
+        table = table.sort_by("__part")
+        sent = [np.frombuffer(x, dtype=width) for x in table.column("hashes").to_pylist()]
+        told = [x for x, k in zip(sent, table.column("kind").to_pylist(), strict=True) if k == "told"]
+        every = np.sort(np.concatenate([*sent, *told]))
         repeated = np.unique(every[1:][every[1:] == every[:-1]])
-        rows = []
-        for part, bucket, own in zip(
-            table.column("__part").to_pylist(), table.column("bucket").to_pylist(), sent, strict=True
-        ):
+        owned, rows = np.zeros(len(repeated), dtype=bool), []
+        columns = (table.column(c).to_pylist() for c in ("__part", "bucket", "kind"))
+        for part, bucket, asked, own in zip(*columns, sent, strict=True):
+            if asked != "asked":
+                continue
             own = np.unique(own)
             found = own[_member(own, repeated)]
             if len(found):
-                rows.append((part, bucket, found.tobytes()))
+                rows.append((part, bucket, found.tobytes(), kind))
+            if len(found) and kind == "segment":
+                at = np.searchsorted(repeated, found)
+                mine = found[~owned[at]]
+                owned[at] = True
+                if len(mine):
+                    rows.append((part, bucket, mine.tobytes(), "owned"))
         return _as_batch(rows)
 
     return run
@@ -160,51 +181,120 @@ class _Known:
         return found
 
 
-def _send_windows(length: int, buckets: int):
-    def run(texts: pa.Table, names: pa.Table) -> pa.Table:
-        if not texts.num_rows or not names.num_rows:
+class _Text:
+    """A group of texts with what every round needs of them."""
+
+    def __init__(self, group: list[bytes], length: int):
+        self.data, self.starts = joined(group)
+        self.sums, self.length = prefix_sums(self.data), length
+        self.places = _places(group, self.starts, length)
+        self.group = group
+
+    def windows(self, places: np.ndarray) -> np.ndarray:
+        return _window_hashes(self.sums, places, self.length)
+
+    def segments(self) -> tuple[np.ndarray, np.ndarray]:
+        """First and last window of each stretch between neighbouring anchors of a text. Anchors are chosen by the bytes
+        that follow them, so equal stretches have equal anchors."""
+        marks = _window_hashes(self.sums, self.places, ANCHOR_BYTES)
+        anchors = self.places[marks & np.uint64(ANCHOR_EVERY - 1) == 0]
+        text = np.searchsorted(self.starts, anchors, side="right")
+        same = text[1:] == text[:-1]
+        return anchors[:-1][same], anchors[1:][same]
+
+    def segment_hashes(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        ends = last + self.length
+        _, inverse = powers(len(self.sums))
+        return mixed((self.sums[ends] - self.sums[first]) * inverse[first] + (ends - first).astype(np.uint64))
+
+    def candidates(self, names: _Known) -> np.ndarray:
+        """For each position, how many windows up to it may begin a repeated string (a running count)."""
+        depth = self.length - PERIOD + 1
+        at = _sampled(self.group, self.starts, self.length)
+        at = at[names.holds(_window_hashes(self.sums, at, depth))]
+        near = np.bincount(np.maximum(at - PERIOD + 1, 0), minlength=len(self.data) + 2)
+        near[at + 1] -= 1
+        likely = np.zeros(len(self.data) + 1, dtype=np.int64)
+        likely[self.places[np.cumsum(near)[self.places] > 0] + 1] = 1
+        return np.cumsum(likely)
+
+    def within(self, segments: _Known) -> np.ndarray:
+        """For each position, whether a window that begins there lies in one of the stretches."""
+        first, last = self.segments()
+        found = segments.holds(self.segment_hashes(first, last))
+        change = np.bincount(first[found], minlength=len(self.data) + 2)
+        change -= np.bincount(last[found] + 1, minlength=len(self.data) + 2)
+        return np.cumsum(change)[: len(self.data)] > 0
+
+
+def _got(table: pa.Table, kind: str) -> pa.Table:
+    return table.filter(pa.compute.equal(table.column("kind"), kind))
+
+
+def _send_segments(length: int, buckets: int):
+    def run(texts: pa.Table, got: pa.Table) -> pa.Table:
+        if not texts.num_rows or not got.num_rows:
             return _as_batch([])
-        known, hashes = _Known(names, buckets, np.uint32), []
+        names, hashes = _Known(_got(got, "name"), buckets, np.uint32), []
         for _, group in chunks(texts.column("text").to_pylist()):
-            data, starts = joined(group)
-            sums = prefix_sums(data)
-            at = _sampled(group, starts, length)
-            at = at[known.holds(_window_hashes(sums, at, length - PERIOD + 1))]
-            near = np.zeros(len(data) + 2, dtype=np.int64)
-            near += np.bincount(np.maximum(at - PERIOD + 1, 0), minlength=len(near))
-            near[at + 1] -= 1
-            places = _places(group, starts, length)
-            places = places[np.cumsum(near)[places] > 0]
-            hashes.append(_window_hashes(sums, places, length))
+            text = _Text(group, length)
+            likely, (first, last) = text.candidates(names), text.segments()
+            whole = likely[last + 1] - likely[first] == last - first + 1
+            hashes.append(text.segment_hashes(first[whole], last[whole]))
         part = texts.column("__part")[0].as_py()
         return _as_batch(list(_send(part, np.concatenate(hashes), buckets, np.uint64)))
 
     return run
 
 
+def _send_windows(length: int, buckets: int):
+    def run(texts: pa.Table, got: pa.Table) -> pa.Table:
+        if not texts.num_rows or not got.num_rows:
+            return _as_batch([])
+        names = _Known(_got(got, "name"), buckets, np.uint32)
+        segments, owned = (_Known(_got(got, kind), buckets, np.uint64) for kind in ("segment", "owned"))
+        asked, told = [], []
+        for _, group in chunks(texts.column("text").to_pylist()):
+            text = _Text(group, length)
+            likely = np.diff(text.candidates(names)) > 0
+            asked.append(text.windows(text.places[(likely & ~text.within(segments))[text.places]]))
+            told.append(np.unique(text.windows(text.places[text.within(owned)[text.places]])))
+        part = texts.column("__part")[0].as_py()
+        rows = list(_send(part, np.concatenate(asked), buckets, np.uint64))
+        return _as_batch(rows + list(_send(part, np.concatenate(told), buckets, np.uint64, "told")))
+
+    return run
+
+
 def _cut(length: int, buckets: int, text_at: int, as_text: bool):
-    def run(rows: pa.Table, windows: pa.Table) -> pa.Table:
-        known = _Known(windows, buckets, np.uint64)
+    def run(rows: pa.Table, got: pa.Table) -> pa.Table:
+        segments, windows = (_Known(_got(got, kind), buckets, np.uint64) for kind in ("segment", "window"))
         out: dict[str, list] = {name: [] for name in OUTPUTS}
         for _, group in chunks(rows.column(text_at).to_pylist()):
-            data, starts = joined(group)
-            covered = np.zeros(len(data) + 1, dtype=np.int32)
-            if len(known.keys):
-                places = _places(group, starts, length)
-                found = places[known.holds(_window_hashes(prefix_sums(data), places, length))]
+            if len(segments.keys) or len(windows.keys):
+                text = _Text(group, length)
+                data, starts = text.data, text.starts
+                settled = text.within(segments)[text.places]
+                settled[~settled] = windows.holds(text.windows(text.places[~settled]))
+                found = text.places[settled]
+                covered = np.zeros(len(data) + 1, dtype=np.int32)
                 covered[found] += 1
                 covered[found + length] -= 1
-            gone = np.cumsum(covered)[:-1] > 0
-            for text, start in zip(group, starts.tolist(), strict=True):
-                own = gone[start : start + len(text)]
-                out["n_bytes"].append(len(text))
+                gone = np.cumsum(covered)[:-1] > 0
+            else:
+                data, starts = joined(group)
+                gone = np.zeros(len(data), dtype=bool)
+            for raw, start in zip(group, starts.tolist(), strict=True):
+                own = gone[start : start + len(raw)]
+                out["n_bytes"].append(len(raw))
                 out["n_removed"].append(int(own.sum()))
                 out["n_spans"].append(int((np.diff(own.view(np.int8), prepend=0) == 1).sum()))
-                kept = data[start : start + len(text)][~own].tobytes()
+                kept = data[start : start + len(raw)][~own].tobytes()
                 out["kept"].append(kept.decode(errors="ignore") if as_text else kept)
         columns = [rows.column(i) for i in range(1, rows.num_columns)]
         names = rows.column_names[1:]
-        columns += [pa.array(out[n], pa.int64()) for n in OUTPUTS[:3]] + [pa.array(out["kept"], pa.string() if as_text else pa.binary())]
+        columns += [pa.array(out[n], pa.int64()) for n in OUTPUTS[:3]]
+        columns += [pa.array(out["kept"], pa.string() if as_text else pa.binary())]
         return pa.table(columns, names=[*names, *OUTPUTS])
 
     return run
@@ -218,24 +308,30 @@ def cut_repeats(
     bytes of a character that a cut has split."""
     if length < PERIOD:
         raise ValueError(f"length must be {PERIOD} or more")
-    spark = documents.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 4 * tasks
     part = F.floor(F.monotonically_increasing_id() / PART_ROWS).cast("long").alias("__part")
-    carried = [c for c in documents.columns if c not in OUTPUTS]
-    stored = materialize(documents.select(part, *(F.col(f"`{c}`") for c in carried)), "suffix-documents")
+    carried = documents.select(part, *(F.col(f"`{c}`") for c in documents.columns if c not in OUTPUTS))
+    stored = bucketed(carried, "suffix-documents", "__part", tasks)
     texts = stored.select("__part", F.col("text").cast("string").alias("text"))
 
-    names = texts.mapInArrow(_send_names(length, buckets), SENT)
-    names = names.groupBy("bucket").applyInArrow(_repeated(np.uint32), SENT)
-    windows = texts.groupBy("__part").cogroup(names.groupBy("__part")).applyInArrow(_send_windows(length, buckets), SENT)
-    windows = windows.groupBy("bucket").applyInArrow(_repeated(np.uint64), SENT)
+    def repeated(sent: DataFrame, kind: str, width: type) -> DataFrame:
+        return materialize(sent.groupBy("bucket").applyInArrow(_repeated(width, kind), SENT), f"suffix-{kind}s")
+
+    def beside(left: DataFrame, right: DataFrame, run, schema) -> DataFrame:
+        return left.groupBy("__part").cogroup(right.groupBy("__part")).applyInArrow(run, schema)
+
+    names = repeated(texts.mapInArrow(_send_names(length, buckets), SENT), "name", np.uint32)
+    segments = repeated(beside(texts, names, _send_segments(length, buckets), SENT), "segment", np.uint64)
+    both = names.union(segments)
+    windows = repeated(beside(texts, both, _send_windows(length, buckets), SENT), "window", np.uint64)
 
     schema = StructType(stored.schema.fields[1:])
     for name in OUTPUTS[:3]:
         schema.add(name, "long", nullable=False)
     schema.add("kept", "string" if as_text else "binary", nullable=False)
     cut = _cut(length, buckets, stored.columns.index("text"), as_text)
-    return stored.groupBy("__part").cogroup(windows.groupBy("__part")).applyInArrow(cut, schema)
+    return beside(stored, segments.union(windows), cut, schema)
 
 
 def report(cut: DataFrame) -> DataFrame:
