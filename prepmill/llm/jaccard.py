@@ -37,7 +37,9 @@ SLICES = 64
 IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[[32, *range(9, 14)]] = False
 ORDER_SEEDS = [np.uint64(0), np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)]
-SETS = "doc_id long, n long, signature binary, p1 array<long>, p2 array<long>, p3 array<long>"
+SETS = "doc_id long, n long, signature binary, p1 array<long>, p2 array<int>, p3 array<int>"
+#: Ids are broadcast up to this number; beyond it they are joined by a shuffle.
+MOST_IDS = 2_000_000
 
 
 def shingle_sets(group: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +114,7 @@ def _prefixes(n: int, percent: int, broadcast):
                     own = mixed(hashes + seed)
                     key = (rows.astype(np.uint64) << np.uint64(52)) | (level << np.uint64(44)) | (own >> np.uint64(20))
                     order = np.argsort(key, kind="stable")
-                    columns.append(hashes[order].view(np.int64))
+                    columns.append(hashes[order])
                 fresh = []
                 for s in signatures:
                     fresh.append(s is not None and s not in seen)
@@ -120,7 +122,8 @@ def _prefixes(n: int, percent: int, broadcast):
                         seen.add(s)
                 if len(seen) > 500_000:
                     seen.clear()
-                listed = pa.list_(pa.int64())
+                columns = [columns[0].view(np.int64), *(c.astype(np.uint32).view(np.int32) for c in columns[1:])]
+                kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
                 cuts = [(e - k, e - k + m) for e, k, m in zip(ends.tolist(), sizes.tolist(), lengths.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -128,8 +131,8 @@ def _prefixes(n: int, percent: int, broadcast):
                         pa.array(sizes, pa.int64()),
                         pa.array(signatures, pa.binary()),
                         *(
-                            pa.array([c[a:b] if f else None for (a, b), f in zip(cuts, fresh, strict=True)], listed)
-                            for c in columns
+                            pa.array([c[a:b] if f else None for (a, b), f in zip(cuts, fresh, strict=True)], kind)
+                            for c, kind in zip(columns, kinds, strict=True)
                         ),
                     ],
                     names=["doc_id", "n", "signature", "p1", "p2", "p3"],
@@ -138,31 +141,33 @@ def _prefixes(n: int, percent: int, broadcast):
     return run
 
 
-def _whole_sets(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, group in chunks(batch.column(1).to_pylist()):
-                rows, hashes = shingle_sets(group, n)
-                edges = np.searchsorted(rows, np.arange(len(group) + 1))
-                packed = [hashes[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(group)), pa.array(packed, pa.binary())], names=["node", "members"]
-                )
-
-    return run
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts in compressed form, which is a fraction of the size of their sets of hashes."""
+    for batch in batches:
+        for first, group in chunks(batch.column(1).to_pylist()):
+            packed = pa.array([zlib.compress(x, 6) for x in group], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(group)), packed], names=["node", "packed"])
 
 
-def _linked(percent: int):
+def _linked(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(z.as_buffer(), dtype=np.uint64) for z in (x, y))
-                both = np.concatenate([x, y])
-                both.sort()
-                same = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * same >= percent * (len(both) - same))
-            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sides = [part.column(2).to_pylist(), part.column(3).to_pylist()]
+                distinct, sets = list(dict.fromkeys(sides[0] + sides[1])), {}
+                for first, group in chunks([zlib.decompress(x) for x in distinct]):
+                    rows, hashes = shingle_sets(group, n)
+                    edges = np.searchsorted(rows, np.arange(len(group) + 1)).tolist()
+                    for i in range(len(group)):
+                        sets[distinct[first + i]] = hashes[edges[i] : edges[i + 1]]
+                keep = []
+                for x, y in zip(*sides, strict=True):
+                    both = np.concatenate([sets[x], sets[y]])
+                    both.sort()
+                    same = int((both[1:] == both[:-1]).sum())
+                    keep.append(100 * same >= percent * (len(both) - same))
+                yield part.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
     return run
 
@@ -182,12 +187,13 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, pe
         .distinct()
     )
     near = materialize(near, "near")
-    nodes = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    wanted = texts.join(nodes, texts["doc_id"] == nodes["id"]).select("doc_id", "text")
-    sets = materialize(wanted.mapInArrow(_whole_sets(n), "node long, members binary"), "sets")
-    left = near.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
-    whole = left.join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
-    links = whole.select("a", "b", "x", "y").mapInArrow(_linked(percent), "a long, b long")
+    nodes = materialize(near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), "nodes")
+    few = nodes.count() <= MOST_IDS
+    wanted = texts.join(F.broadcast(nodes) if few else nodes, texts["doc_id"] == nodes["id"]).select("doc_id", "text")
+    held = materialize(wanted.mapInArrow(_packed, "node long, packed binary"), "near-texts")
+    left = near.join(held.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a")
+    whole = left.join(held.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
+    links = whole.select("a", "b", "x", "y").mapInArrow(_linked(n, percent), "a long, b long")
     return materialize(links.distinct(), "verified")
 
 
