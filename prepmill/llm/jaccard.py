@@ -1,9 +1,10 @@
 """N-gram Jaccard join by several global orders of the n-grams.
 
 Under any one global order, two sets with Jaccard similarity of at least p/100 share an n-gram among
-the first ``n - ceil(p*n/100) + 1`` of each. The join uses three orders, all with rare n-grams first and
-each with its own hash behind: an order-1 prefix proposes candidates, and a pair goes on only if its
-prefixes also meet under order 2 and order 3. What is left is verified on the whole sets.
+the first ``n - ceil(p*n/100) + 1`` of each. The join uses three orders: order 1 has rare n-grams first,
+orders 2 and 3 follow hashes. A common n-gram of two order-1 prefixes proposes a pair, unless so many n-grams stand
+before it in either set that the rest cannot reach the similarity (true pairs pass at their first common n-gram).
+A pair goes on only if its prefixes also meet under order 2 and order 3. What is left is verified on the whole texts.
 
 Rarity comes from counts over all documents in ``COUNTERS`` hashed counters, whose logarithms (one byte
 each) are broadcast. Documents with the same set are one node from the start, so copies never pair up.
@@ -110,9 +111,11 @@ def _prefixes(n: int, percent: int, broadcast):
                 level = levels[hashes % np.uint64(COUNTERS)].astype(np.uint64)
                 lengths = sizes - (percent * sizes + 99) // 100 + 1
                 columns = []
-                for seed in ORDER_SEEDS:
-                    own = mixed(hashes + seed)
-                    key = (rows.astype(np.uint64) << np.uint64(52)) | (level << np.uint64(44)) | (own >> np.uint64(20))
+                for k, seed in enumerate(ORDER_SEEDS):
+                    own = mixed(hashes + seed) >> np.uint64(20 if k == 0 else 12)
+                    key = (rows.astype(np.uint64) << np.uint64(52)) | own
+                    if k == 0:
+                        key |= level << np.uint64(44)
                     order = np.argsort(key, kind="stable")
                     columns.append(hashes[order])
                 fresh = []
@@ -213,29 +216,41 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
     )
     classes = materialize(classes, "classes")
 
-    tokens = classes.select(F.explode("p1").alias("token"), "rep", "n")
+    tokens = classes.select(F.posexplode("p1").alias("at", "token"), "rep", "n")
     shared = tokens.groupBy("token").count().filter("count > 1").select("token")
     step = float(np.log(100 / percent)) if percent < 100 else 1.0
     size_class = F.floor(F.log("n") / step) if percent < 100 else F.col("n")
+    tokens = tokens.select("token", "rep", "n", (F.col("n") - F.col("at")).alias("rest"))
     shared = materialize(tokens.join(shared, "token").withColumn("size", size_class.cast("long")), "shared")
+    reach = F.lit(100 + percent) * F.least("rest", "rest_a") >= F.lit(percent) * (F.col("n") + F.col("n_a"))
 
-    leaders = shared.groupBy("token", "size").agg(F.min("rep").alias("a"))
-    first = shared.join(leaders, ["token", "size"]).filter("a < rep").select("a", F.col("rep").alias("b")).distinct()
+    leaders = shared.groupBy("token", "size").agg(F.min(F.struct("rep", "n", "rest")).alias("lead"))
+    leaders = leaders.select(
+        "token", "size", F.col("lead.rep").alias("a"), F.col("lead.n").alias("n_a"), F.col("lead.rest").alias("rest_a")
+    )
+    first = shared.join(leaders, ["token", "size"]).filter("a < rep").filter(reach)
+    first = materialize(first.select("a", F.col("rep").alias("b")).distinct(), "first")
     links = _verified(first, classes, texts, n, percent)
     joined_so_far = components(links)
 
     labelled = shared.join(joined_so_far, shared["rep"] == joined_so_far["node"], "left").select(
-        "token", "rep", "n", F.coalesce("component", "rep").alias("component")
+        "token", "rep", "n", "rest", F.coalesce("component", "rep").alias("component")
     )
     labelled = materialize(labelled, "labelled")
     mixed_groups = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_rows = labelled.join(mixed_groups.filter("low < high").select("token"), "token")
-    other = open_rows.select("token", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
+    other = open_rows.select(
+        "token",
+        F.col("rep").alias("a"),
+        F.col("n").alias("n_a"),
+        F.col("rest").alias("rest_a"),
+        F.col("component").alias("other"),
+    )
     across = (
         open_rows.join(other, "token")
-        .filter("rep < b and component <> other")
-        .filter(F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m"))
-        .select(F.col("rep").alias("a"), "b")
+        .filter("a < rep and component <> other")
+        .filter(reach)
+        .select("a", F.col("rep").alias("b"))
         .distinct()
         .join(first, ["a", "b"], "left_anti")
     )
