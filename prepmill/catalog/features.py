@@ -35,6 +35,18 @@ def feat_string_index(spark, folder):
     return fitted.transform(orders).withColumnRenamed(indexed("o_orderpriority"), "priority_index")
 
 
+@query("feat_string_index_strict", f"""
+    SELECT o_orderkey, orders.o_orderpriority, CAST(rank AS DOUBLE) AS priority_index
+    FROM orders JOIN ({_ranks("orders", "o_orderpriority")}) ranks
+         ON orders.o_orderpriority = ranks.o_orderpriority
+""")
+def feat_string_index_strict(spark, folder):
+    """The form that refuses unseen text, on data where every text was seen."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    fitted = string_index(["o_orderpriority"], invalid="error").fit(orders)
+    return fitted.transform(orders).withColumnRenamed(indexed("o_orderpriority"), "priority_index")
+
+
 @query("feat_string_index_unseen", f"""
     SELECT o_orderkey, orders.o_orderpriority,
            CAST(COALESCE(rank, (SELECT count(DISTINCT o_orderpriority) FROM orders

@@ -46,11 +46,18 @@ def limit_n(spark, folder):
     return table(spark, folder, "orders").limit(3500).agg(F.count("*").alias("rows"))
 
 
-@query("limit_then_sort")
+@query("limit_then_sort", """
+    SELECT least(3500, count(*)) AS rows, least(3500, count(*)) AS orders, least(3500, count(*)) AS known
+    FROM orders
+""")
 def limit_then_sort(spark, folder):
-    """Any 3,500 rows, then sorted: not a top-k."""
+    """Any 3,500 rows, then sorted: not a top-k. Which rows is open; that they are different orders is not."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    return orders.limit(3500).orderBy("o_totalprice", "o_orderkey")
+    cut = orders.limit(3500).orderBy("o_totalprice", "o_orderkey")
+    found = cut.join(orders, ["o_orderkey", "o_totalprice"], "left_semi").agg(F.count("*").alias("known"))
+    return cut.agg(F.count("*").alias("rows"), F.count_distinct("o_orderkey").alias("orders")).select(
+        "rows", "orders", found.scalar().alias("known")
+    )
 
 
 @query("topk", """

@@ -76,3 +76,24 @@ _DIRTY = {
 def prep_cast_double(spark, folder):
     dirty = table(spark, folder, "part").selectExpr(*[f"{e} AS {n}" for n, e in _DIRTY.items()])
     return cast_to_double(dirty, ["size_text", "price_text", "size_number"])
+
+
+@query("proj_same_twice", "SELECT o_orderkey AS number, o_orderkey AS again FROM orders")
+def proj_same_twice(spark, folder):
+    """A column selected twice keeps its name twice, until the columns are renamed."""
+    return table(spark, folder, "orders").select("o_orderkey", "o_orderkey").toDF("number", "again")
+
+
+@query("layout_repartition", "SELECT count(*) AS rows, CAST(7 AS BIGINT) AS parts FROM orders")
+def layout_repartition(spark, folder):
+    """Rows are dealt out evenly, none is lost."""
+    dealt = table(spark, folder, "orders").repartition(7).select(F.spark_partition_id().alias("part"))
+    return dealt.agg(F.count("*").alias("rows"), F.count_distinct("part").alias("parts"))
+
+
+@query("layout_cache", "SELECT o_orderkey, o_totalprice FROM orders")
+def layout_cache(spark, folder):
+    """A table that was cached, read and released has the rows it had before."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice").persist()
+    orders.count()
+    return orders.unpersist()

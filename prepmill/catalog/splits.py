@@ -17,11 +17,20 @@ def _labelled(parts: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-@query("split_random")
+@query("split_random", """
+    SELECT count(*) AS rows, count(*) AS orders, true AS as_weighted FROM orders
+""")
 def split_random(spark, folder):
+    """All rows, no order twice, and a test share within two hundredths of its weight."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    train, test = random_split(orders, [0.8, 0.2], seed=12)
-    return _labelled({"train": train, "test": test})
+    train, test = random_split(orders, [0.8, 0.2], seed=12, keys=["o_orderkey"])
+    parts = _labelled({"train": train, "test": test})
+    share = F.count_if(F.col("part") == "test") / F.count("*")
+    return parts.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("o_orderkey").alias("orders"),
+        F.abs(share - 0.2).between(0, 0.02).alias("as_weighted"),
+    )
 
 
 @query("split_random_covers", "SELECT o_orderkey, 1 AS parts FROM orders")
@@ -43,9 +52,14 @@ def split_on_key(spark, folder):
     return _labelled({"train": train, "test": test})
 
 
-@query("sample_stratified")
+@query("sample_stratified", """
+    SELECT o_orderpriority,
+           CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN NULL ELSE count(*) END AS whole,
+           true AS as_asked
+    FROM orders GROUP BY o_orderpriority
+""")
 def sample_stratified(spark, folder):
-    """Two priorities thinned, three kept whole."""
+    """Two priorities thinned to two fifths, within a tenth of the stratum, three kept whole."""
     fractions = {
         "1-URGENT": 0.4,
         "2-HIGH": 0.4,
@@ -54,7 +68,18 @@ def sample_stratified(spark, folder):
         "5-LOW": 1.0,
     }
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
-    return stratified_sample(orders, "o_orderpriority", fractions, seed=42)
+    sample = stratified_sample(orders, "o_orderpriority", fractions, seed=42, keys=["o_orderkey"])
+    sizes = orders.groupBy("o_orderpriority").agg(F.count("*").alias("all"))
+    kept = sample.groupBy("o_orderpriority").agg(
+        F.count("*").alias("kept"), F.count_distinct("o_orderkey").alias("once")
+    )
+    thinned = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    near = F.abs(F.col("kept") / F.col("all") - F.when(thinned, 0.4).otherwise(1.0)) <= 0.1
+    return kept.join(sizes, "o_orderpriority").select(
+        "o_orderpriority",
+        F.when(~thinned, F.col("kept")).alias("whole"),
+        (near & (F.col("kept") == F.col("once"))).alias("as_asked"),
+    )
 
 
 @query("sample_stratified_whole", """

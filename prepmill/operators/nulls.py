@@ -16,12 +16,12 @@ from prepmill.sources.storage import materialize
 
 def null_counts(df: DataFrame) -> DataFrame:
     """One row holding the number of nulls of every column."""
-    return df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in df.columns])
+    return df.agg(*[F.count_if(F.col(f"`{name}`").isNull()).alias(name) for name in df.columns])
 
 
 def rows_with_null(df: DataFrame) -> DataFrame:
     """Rows with a null in at least one column."""
-    return df.filter(reduce(or_, [F.col(name).isNull() for name in df.columns]))
+    return df.filter(reduce(or_, [F.col(f"`{name}`").isNull() for name in df.columns]))
 
 
 def complete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -59,14 +59,14 @@ def impute_group_median(
     """
     complete = complete_rows(df)
     if groups is not None:
-        complete = complete.filter(F.col(group).isin(list(groups)))
+        complete = complete.filter(F.col(f"`{group}`").isin(list(groups)))
     medians = materialize(
         group_median(complete, [group], value, accuracy, exact).select(
-            F.col(group).alias("_group"), F.col("median").alias("_median")
+            F.col(f"`{group}`").alias("_group"), F.col("median").alias("_median")
         ),
         "medians",
     )
-    joined = df.join(medians, df[group] == medians["_group"], "left")
-    return joined.withColumn(output, F.coalesce(F.col(value), F.col("_median"))).drop(
+    joined = df.join(medians, df[f"`{group}`"] == medians["_group"], "left")
+    return joined.withColumn(output, F.coalesce(F.col(f"`{value}`"), F.col("_median"))).drop(
         "_group", "_median"
     )

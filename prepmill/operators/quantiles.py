@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prepmill.sources.storage import materialize
 
+CUTS = 64
+
 
 def group_median(
     df: DataFrame,
@@ -43,92 +45,100 @@ def exact_quantiles(
     With ``interpolate`` a quantile between two elements is their weighted mean, otherwise it is
     the first element whose rank reaches the probability.
 
-    Pass one brackets every quantile by a sketch whose rank error is bounded. Pass two counts the
-    values inside the brackets one by one and everything between them as a single number, then
-    adds up the counts in value order. At most about 8/``accuracy`` of a group's rows per quantile
-    lie inside a bracket, equal values are counted before the shuffle, and the running sum works
-    on those counts only, so no task receives a whole group.
+    Ranks are found by narrowing. Every wanted rank starts with the interval of all values. A round
+    cuts the interval at values that a sketch of it names, counts the rows at and between the cuts,
+    and keeps the piece that holds the rank; it ends where that piece is a single value. Counts are
+    added up per task first, so a round shuffles a fixed number of them per group and task whatever
+    the group's size, and a sketch that misses only costs another round.
     """
-    present = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"))
-    brackets = _brackets(present, keys, probabilities, accuracy)
-    if keys:
-        stored = materialize(
-            brackets.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_bracket"), "brackets"
-        )
-        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-        located = present.join(stored, same).select(*keys, "_value", "_bracket")
-    else:
-        bracket = brackets.select("_bracket").scalar()
-        located = present.select("_value", bracket.alias("_bracket"))
-
-    counted = _count_inside(located, keys, len(probabilities))
-    order = Window.partitionBy(*keys).orderBy(F.col("_point").asc_nulls_first(), "_gap")
-    upto = F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counted.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_rows"))
-
+    named = [f"_key{i}" for i in range(len(keys))]
+    present = df.filter(F.col(f"`{value}`").isNotNull()).select(
+        *[F.col(f"`{k}`").alias(a) for k, a in zip(keys, named, strict=True)],
+        F.col(f"`{value}`").alias("_value"),
+    )
     parts = [_rank_parts(p, interpolate) for p in probabilities]
-    picks = [
-        pick.alias(f"_pick{i}_{side}")
-        for i, (low, high, _) in enumerate(parts)
-        for side, pick in (("low", _element_at(low)), ("high", _element_at(high)))
-    ]
+    ranks = [rank for low, high, _ in parts for rank in (low, high)]
+    sizes = present.groupBy(*named).agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
+    kind = present.schema["_value"].dataType
+    empty = F.lit(None).cast(kind)
+    state = materialize(
+        sizes.select(*named, "n", F.posexplode(F.array(*ranks)).alias("target", "rank")).select(
+            *named, "n", "target", "rank", empty.alias("low"), empty.alias("high"), empty.alias("found")
+        ),
+        "ranks",
+    )
+    done = state.filter(F.lit(False))
+    while True:
+        state = materialize(_narrowed(present, named, state, accuracy), "ranks")
+        done = done.unionByName(state.filter("found is not null"))
+        state = state.filter("found is null")
+        if not state.take(1):
+            break
+
+    picks = [F.max(F.when(F.col("target") == i, F.col("found"))).alias(f"_pick{i}") for i in range(len(ranks))]
     quantiles = []
     for i, (_, _, weight) in enumerate(parts):
-        low, high = F.col(f"_pick{i}_low"), F.col(f"_pick{i}_high")
+        low, high = F.col(f"_pick{2 * i}"), F.col(f"_pick{2 * i + 1}")
         quantiles.append(low + (high - low) * weight if interpolate else low)
     return (
-        ranked.groupBy(*keys, F.col("n"))
+        done.groupBy(*named, "n")
         .agg(*picks)
-        .select(*keys, "n", F.array(*quantiles).alias("quantiles"))
+        .select(
+            *[F.col(a).alias(k) for k, a in zip(keys, named, strict=True)],
+            "n",
+            F.array(*quantiles).alias("quantiles"),
+        )
     )
 
 
-def _brackets(present: DataFrame, keys, probabilities, accuracy: int) -> DataFrame:
-    """Per group: its size and, per quantile, a low and a high value that enclose it.
+def _narrowed(present: DataFrame, keys: Sequence[str], state: DataFrame, accuracy: int) -> DataFrame:
+    """``state`` with smaller intervals; ``rank`` counts from the beginning of the interval."""
 
-    The sketch may miss a rank by 1/accuracy; asking 4/accuracy to either side leaves room for
-    that and for rounding of ranks. Groups no larger than ``accuracy`` are enclosed as a whole.
-    """
-    slack = 4.0 / accuracy
-    asked = [max(p - slack, 0.0) for p in probabilities] + [
-        min(p + slack, 1.0) for p in probabilities
-    ]
-    m = len(probabilities)
-    sketch = present.groupBy(*keys).agg(
-        F.count("_value").alias("_n"),
-        F.min("_value").alias("_min"),
-        F.max("_value").alias("_max"),
-        F.percentile_approx("_value", asked, accuracy).alias("_asked"),
-    )
-    small = F.col("_n") <= accuracy
-    fields = [F.col("_n").alias("n")]
-    for i in range(m):
-        fields.append(F.when(small, F.col("_min")).otherwise(F.col("_asked")[i]).alias(f"low{i}"))
-        fields.append(
-            F.when(small, F.col("_max")).otherwise(F.col("_asked")[m + i]).alias(f"high{i}")
-        )
-    return sketch.select(*keys, F.struct(*fields).alias("_bracket"))
+    def beside(rows: DataFrame, table: DataFrame) -> DataFrame:
+        renamed = table.select(*[F.col(k).alias(f"{k}_of") for k in keys], *[c for c in table.columns if c not in keys])
+        if not keys:
+            wanted = renamed.agg(F.collect_list(F.struct(*renamed.columns))).scalar()  # one per rank
+            return rows.select("*", F.explode(wanted).alias("_rank")).select("*", "_rank.*").drop("_rank")
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}_of")) for k in keys])
+        return rows.join(renamed, same).drop(*[f"{k}_of" for k in keys])
 
+    def inside(rows: DataFrame) -> DataFrame:
+        above = F.col("low").isNull() | (F.col("_value") > F.col("low"))
+        return rows.filter(above & (F.col("high").isNull() | (F.col("_value") < F.col("high"))))
 
-def _count_inside(located: DataFrame, keys, m: int) -> DataFrame:
-    """Counts by value inside the brackets; values outside count at the bracket end below them."""
-    value, bracket = F.col("_value"), F.col("_bracket")
-    inside = reduce(
-        or_, [value.between(bracket[f"low{i}"], bracket[f"high{i}"]) for i in range(m)]
+    shares = [i / CUTS for i in range(CUTS + 1)]
+    cuts = inside(beside(present, state)).groupBy(*keys, "n", "target", "rank", "low", "high").agg(
+        F.array_distinct(F.percentile_approx("_value", shares, accuracy)).alias("cuts")
     )
-    ends_below = [
-        F.when(bracket[f"high{i}"] < value, bracket[f"high{i}"]) for i in range(m)
-    ]
-    end_below = F.greatest(*ends_below) if m > 1 else ends_below[0]
-    return (
-        located.select(
-            *keys,
-            bracket["n"].alias("n"),
-            F.when(inside, value).otherwise(end_below).alias("_point"),
-            (~inside).alias("_gap"),
-        )
-        .groupBy(*keys, "n", "_point", "_gap")
-        .agg(F.count(F.lit(1)).alias("_rows"))
+    cuts = materialize(cuts, "cuts")
+    below = F.size(F.filter("cuts", lambda c: c < F.col("_value")))
+    piece = 2 * below + F.array_contains("cuts", F.col("_value")).cast("int")
+    counted = inside(beside(present, cuts)).select(*keys, "target", piece.alias("piece"))
+    counted = counted.groupBy(*keys, "target", "piece").agg(F.count(F.lit(1)).alias("rows"))
+    pieces = counted.groupBy(*keys, "target").agg(
+        F.array_sort(F.collect_list(F.struct("piece", "rows"))).alias("pieces")  # 2 * CUTS + 3 at most
+    )
+    pieces = pieces.select(*[F.col(k).alias(f"{k}_at") for k in keys], F.col("target").alias("target_at"), "pieces")
+    match = [F.col(k).eqNullSafe(F.col(f"{k}_at")) for k in keys]
+    both = cuts.join(pieces, reduce(and_, [F.col("target") == F.col("target_at"), *match]))
+    start = F.struct(F.lit(-1).alias("piece"), F.col("rank").cast("long").alias("left"))
+    held = F.aggregate(
+        "pieces",
+        start,
+        lambda at, p: F.when(at["piece"] >= 0, at)
+        .when(at["left"] < p["rows"], F.struct(p["piece"].alias("piece"), at["left"].alias("left")))
+        .otherwise(F.struct(F.lit(-1).alias("piece"), (at["left"] - p["rows"]).alias("left"))),
+    )
+    at = F.floor(F.col("held.piece") / 2).cast("int")
+    cut = lambda i: F.get("cuts", i)
+    return both.withColumn("held", held).select(
+        *keys,
+        "n",
+        "target",
+        F.col("held.left").alias("rank"),
+        F.coalesce(F.when(at > 0, cut(at - 1)), F.col("low")).alias("low"),
+        F.coalesce(cut(at), F.col("high")).alias("high"),
+        F.when(F.col("held.piece") % 2 == 1, cut(at)).alias("found"),
     )
 
 
@@ -138,13 +148,6 @@ def _rank_parts(p: float, interpolate: bool) -> tuple[Column, Column, Column]:
     if interpolate:
         position = F.lit(float(p)) * (n - 1)
         low = F.floor(position)
-        return low, F.ceil(position), position - low
-    rank = F.greatest(F.ceil(F.lit(float(p)) * n) - 1, F.lit(0))
+        return low.cast("long"), F.ceil(position).cast("long"), position - low
+    rank = F.greatest(F.ceil(F.lit(float(p)) * n) - 1, F.lit(0)).cast("long")
     return rank, rank, F.lit(0.0)
-
-
-def _element_at(rank: Column) -> Column:
-    """The counted value that covers a rank; a rank outside every bracket fails the job."""
-    here = (F.col("_before") <= rank) & (rank < F.col("_upto"))
-    in_gap = F.raise_error(F.lit("quantile lies outside its bracket"))
-    return F.max(F.when(here & F.col("_gap"), in_gap).when(here, F.col("_point")))
