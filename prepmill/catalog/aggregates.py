@@ -79,16 +79,17 @@ def agg_median(spark, folder):
 
 @query("agg_median_approx", "SELECT DISTINCT l_returnflag, true AS near FROM lineitem")
 def agg_median_approx(spark, folder):
-    """The sketch form: one pass; the rank of the result is within 1/10,000 of one half."""
+    """The sketch form: one pass; the rank of the result is within 1/10,000 of the group, rounded up to rows, of the middle."""
     lines = table(spark, folder, "lineitem").select("l_returnflag", "l_extendedprice")
     found = group_median(lines, ["l_returnflag"], "l_extendedprice")
     price, median = F.col("l_extendedprice"), F.col("median")
     ranks = lines.join(found, "l_returnflag").groupBy("l_returnflag").agg(
-        (F.count_if(price < median) / F.count("*")).alias("below"),
-        (F.count_if(price <= median) / F.count("*")).alias("upto"),
+        F.count("*").alias("n"),
+        F.count_if(price < median).alias("below"),
+        F.count_if(price <= median).alias("upto"),
     )
-    slack = 1e-4
-    near = (F.col("below") <= 0.5 + slack) & (F.col("upto") >= 0.5 - slack)
+    slack = F.col("n") / 10_000 + 1
+    near = (F.col("below") <= F.col("n") / 2 + slack) & (F.col("upto") >= F.col("n") / 2 - slack)
     return ranks.select("l_returnflag", near.alias("near"))
 
 
