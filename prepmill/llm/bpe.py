@@ -19,7 +19,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
-import itertools
+import struct
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from prepmill.llm.textbytes import span_hashes
 
-CHUNK_CHARS = 1 << 20
-CACHE_PIECES = 300_000
+CHUNK_CHARS = 1 << 19
+CACHE_PIECES = 150_000
 LONG_PIECE = 96
 
 # Symbols. ONE and TWO are letters that end, or begin, a contraction after an apostrophe.
@@ -177,24 +177,25 @@ class Vocabulary:
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
         self.lengths = np.array([len(t) for t in self.tokens], dtype=np.int64)
-        self.young: dict[bytes, tuple[int, ...]] = {}
-        self.old: dict[bytes, tuple[int, ...]] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
-    def piece(self, raw: bytes) -> tuple[int, ...]:
-        """Token ids of one piece."""
+    def piece(self, raw: bytes) -> bytes:
+        """Token ids of one piece, four bytes each."""
         rank = self.ranks.get(raw)
         if rank is not None:
-            ids: tuple[int, ...] = (rank,)
+            ids = struct.pack("i", rank)
         elif len(raw) > LONG_PIECE:
-            return self._merge_long(raw)
+            return np.array(self._merge_long(raw), dtype=np.int32).tobytes()
         else:
-            ids = self._merge(raw)
+            merged = self._merge(raw)
+            ids = struct.pack(f"{len(merged)}i", *merged)
         if len(self.young) >= CACHE_PIECES:
             self.old, self.young = self.young, {}
         self.young[raw] = ids
         return ids
 
-    def get(self, raw: bytes) -> tuple[int, ...] | None:
+    def get(self, raw: bytes) -> bytes | None:
         """Token ids of one piece, if cached."""
         return self.young.get(raw) or self.old.get(raw)
 
@@ -275,8 +276,8 @@ class Vocabulary:
         pieces = [
             get(s) or piece(s) for s in (raw[a:b] for a, b in zip(edges[sample], edges[sample + 1], strict=True))
         ]
-        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        flat = np.fromiter(itertools.chain.from_iterable(pieces), dtype=np.int32, count=sizes.sum())
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
+        flat = np.frombuffer(b"".join(pieces), dtype=np.int32)
         counts = sizes[code]
         ends = np.append(0, np.cumsum(counts))
         shift = (np.cumsum(sizes) - sizes)[code] - ends[:-1]

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15 | 3)
 _WORD_ROW = np.uint64(0xD1B54A32D192ED03)
 
