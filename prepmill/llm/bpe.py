@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from prepmill.llm.textbytes import span_hashes
 
 CHUNK_CHARS = 1 << 19
-CACHE_PIECES = 150_000
+CACHE_PIECES = 250_000
 LONG_PIECE = 96
 
 # Symbols. ONE and TWO are letters that end, or begin, a contraction after an apostrophe.
