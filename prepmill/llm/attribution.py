@@ -90,6 +90,7 @@ def token_counts(
                     names=["doc_id", "n_tokens", "starts", "tokens", "crossing"],
                 )
                 done += len(group)
+        known.forget()
 
     chosen = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     return chosen.mapInArrow(run, SCHEMA)

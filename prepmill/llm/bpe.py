@@ -195,6 +195,10 @@ class Vocabulary:
         self.young[raw] = ids
         return ids
 
+    def forget(self) -> None:
+        """Empty the cache, so that a worker that waits for other work holds no memory for this."""
+        self.young, self.old = {}, {}
+
     def get(self, raw: bytes) -> bytes | None:
         """Token ids of one piece, if cached."""
         return self.young.get(raw) or self.old.get(raw)
@@ -328,6 +332,7 @@ def encode(documents: DataFrame, path: str, id_column: str = "doc_id", text_colu
                     names=[id_column, "ids", "ends"],
                 )
                 done += len(group)
+        known.forget()
 
     chosen = documents.select(id_column, F.col(text_column).cast("string").alias("text"))
     kind = chosen.schema[0].dataType.simpleString()

@@ -332,8 +332,9 @@ def without_toxic(documents: DataFrame, model: Model, threshold: float = 0.5) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Model = broadcast.value
         for batch in batches:
-            values = [known.scores(known.decisions(g)) < threshold for _, g in chunks(batch.column(at).to_pylist())]
-            if values:
-                yield batch.filter(pa.array(np.concatenate(values)))
+            for first in range(0, batch.num_rows, 1024):
+                part = batch.slice(first, 1024)
+                values = [known.scores(known.decisions(g)) < threshold for _, g in chunks(part.column(at).to_pylist())]
+                yield part.filter(pa.array(np.concatenate(values)))
 
     return documents.mapInArrow(run, documents.schema)
