@@ -93,13 +93,20 @@ def src_csv_dropmalformed(spark, folder):
 
 
 @query("src_jdbc_roundtrip", """
-    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal > 0
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 """)
 def src_jdbc_roundtrip(spark, folder):
     stored = fresh_database_table(spark)
     write_table(table(spark, folder, "customer"), stored, _CUSTOMER_TYPES)
-    loaded = read_table(spark, stored, partition_column="c_custkey", num_partitions=4)
-    return loaded.filter(F.col("c_acctbal") > 0)
+    return read_table(spark, stored, partition_column="c_custkey")
+
+
+@query("src_jdbc_pushed_filter", """
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal > 0
+""")
+def src_jdbc_pushed_filter(spark, folder):
+    """The database, not Spark, leaves out the rows."""
+    return src_jdbc_roundtrip(spark, folder).filter(F.col("c_acctbal") > 0)
 
 
 @query("sink_parquet_roundtrip", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
@@ -140,7 +147,7 @@ def etl_reconcile(spark, folder):
     stored = fresh_database_table(spark)
     customer = table(spark, folder, "customer")
     write_table(customer, stored, _CUSTOMER_TYPES)
-    loaded = read_table(spark, stored, partition_column="c_custkey", num_partitions=4)
+    loaded = read_table(spark, stored, partition_column="c_custkey")
     return _rounded(reconcile(customer, loaded))
 
 
@@ -156,7 +163,7 @@ def job_load_and_reconcile(spark, folder):
     path = scratch_path(spark, "customer-csv")
     write_csv(table(spark, folder, "customer"), path, header=True)
     compared = load_and_reconcile(
-        spark, path, fresh_database_table(spark), "c_custkey", 4, _CUSTOMER_TYPES
+        spark, path, fresh_database_table(spark), "c_custkey", column_types=_CUSTOMER_TYPES
     )
     return compared.select("column_name", "source_present", "target_present", "matches")
 
@@ -166,4 +173,4 @@ def job_ingest(spark, folder):
     """Database table to Parquet."""
     stored = fresh_database_table(spark)
     write_table(table(spark, folder, "customer"), stored, _CUSTOMER_TYPES)
-    return ingest(spark, stored, scratch_path(spark, "raw"), "c_custkey", 4)
+    return ingest(spark, stored, scratch_path(spark, "raw"), "c_custkey")

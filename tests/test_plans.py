@@ -124,6 +124,22 @@ def test_empty_database_table(spark, database):
     assert read_table(spark, database, partition_column="id").count() == 0
 
 
+def test_reads_follow_the_number_of_rows(spark, database):
+    write_table(spark.range(1000).select("id", (F.col("id") / 8).alias("x")), database)
+    for key in ("id", "x"):
+        parts = read_table(spark, database, key, rows_per_task=300)
+        assert parts.rdd.getNumPartitions() == 4 and parts.count() == 1000
+    assert read_table(spark, database, "id").rdd.getNumPartitions() == 1
+
+
+def test_a_key_without_values_splits_nothing(spark, database):
+    write_table(spark.range(3).select("id", F.lit(None).cast("int").alias("k")), database)
+    with pytest.raises(ValueError, match="null in every row"):
+        read_table(spark, database, "k")
+    with pytest.raises(ValueError, match="num_partitions"):
+        read_table(spark, database, "id", bounds=(0, 2))
+
+
 def test_ingest(spark, database, tmp_path):
     write_table(spark.range(100), database)
     stored = ingest(spark, database, str(tmp_path / "raw"), "id", 3)

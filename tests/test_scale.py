@@ -33,7 +33,7 @@ def test_no_query_pairs_all_rows_or_leaves_the_jvm(spark, name):
         ("filt_and_ordinal", "Not(EqualTo(o_orderstatus,P))"),
         ("filt_between", "LessThanOrEqual(l_quantity,5.0)"),
         ("filt_having", "EqualTo(o_orderpriority,1-URGENT)"),
-        ("src_jdbc_roundtrip", "GreaterThan(c_acctbal,0.0)"),
+        ("src_jdbc_pushed_filter", "GreaterThan(c_acctbal,0.0)"),
     ],
 )
 def test_filters_are_pushed_down(spark, name, pushed):
