@@ -118,10 +118,12 @@ def _prefixes(n: int, percent: int, broadcast):
                         key |= level << np.uint64(44)
                     order = np.argsort(key, kind="stable")
                     columns.append(hashes[order])
+                ids = batch.column(0).slice(first, len(group))
                 fresh = []
-                for s in signatures:
-                    fresh.append(s is not None and s not in seen)
-                    if s is not None:
+                for s, named in zip(signatures, ids.is_valid().to_pylist(), strict=True):
+                    # a row without an id joins no class, so it must not be the one that carries the prefixes
+                    fresh.append(named and s is not None and s not in seen)
+                    if fresh[-1]:
                         seen.add(s)
                 if len(seen) > 500_000:
                     seen.clear()
@@ -130,7 +132,7 @@ def _prefixes(n: int, percent: int, broadcast):
                 cuts = [(e - k, e - k + m) for e, k, m in zip(ends.tolist(), sizes.tolist(), lengths.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(first, len(group)),
+                        ids,
                         pa.array(sizes, pa.int64()),
                         pa.array(signatures, pa.binary()),
                         *(

@@ -251,6 +251,16 @@ def test_null_and_repeated_ids(spark):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 1, 1]
 
 
+def test_null_id_ahead_of_a_text_with_near_copies(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:59], "other"])
+    rows = [(None, " ".join(words)), (5, " ".join(words)), (3, near), (None, near), (8, "far away from it all")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = Counter((r["doc_id"], r["component_id"]) for r in jaccard.jaccard_components(frame).collect())
+    assert found == {(5, 3): 1, (3, 3): 1, (8, 8): 1, (None, None): 2}
+    assert sorted(r["doc_id"] or 0 for r in jaccard.one_per_group(frame).collect()) == [0, 0, 3, 8]
+
+
 # --- suffix dedup ----------------------------------------------------------------------------------------
 
 
