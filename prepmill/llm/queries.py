@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepmill.llm import attribution, bpe, chat, decontaminate, jaccard, quality, suffixes, toxicity, voronoi, warc
+from prepmill.llm import (
+    attribution,
+    bpe,
+    cells,
+    chat,
+    decontaminate,
+    jaccard,
+    quality,
+    repair,
+    resampling,
+    suffixes,
+    toxicity,
+    voronoi,
+    warc,
+)
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -88,6 +102,20 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return repair.report(conversations, repair.repair(repair.damaged(conversations)))
+
+
+def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return cells.near_duplicates(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     name: run
     for name, run in list(globals().items())
