@@ -1,0 +1,284 @@
+"""Conversation repair, importance resampling and near-duplicate vectors against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import heapq
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from prepmill.llm import cells, repair, resampling
+
+# --- conversation repair ---------------------------------------------------------------------------------
+
+WHITE = "[\x20\x09-\x0d]"
+
+
+def cheapest(turns):
+    """(cost, audit, what is left) of [(role, text, fault)], by a search over whole audits."""
+    names = {"u": "user", "a": "assistant"}
+    heap, done = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, at, left, said = heapq.heappop(heap)
+        if at == len(turns) and re.fullmatch("(s?(ua)+)?", left):
+            return cost, audit, list(said)
+        state = left[-1:]  # what may follow depends on the last role only
+        if (at, state) in done:
+            continue
+        done.add((at, state))
+        steps = [("I", 2, at, x, (f"{names[x]}:",)) for x in "ua"]
+        if at < len(turns):
+            role, text, fault = turns[at]
+            steps.append(("D", 3, at + 1, "", ()))
+            if fault not in ("blank", "duplicate"):
+                more = int(fault == "truncated")
+                steps.append(("K", more, at + 1, role[:1] or "-", (f"{role}:{text}",)))
+                steps += [("R", 2 + more, at + 1, x, (f"{names[x]}:{text}",)) for x in "ua"]
+        for edit, price, to, initial, words in steps:
+            if re.fullmatch("s?(ua)*u?", left + initial):
+                heapq.heappush(heap, (cost + price, audit + edit, to, left + initial, said + words))
+    raise AssertionError("no audit")
+
+
+def repaired(rows):
+    """Report of [(conv_id, turn, role, text)] by conversation."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        own = [(t, r if r is not None else " ", x if x is not None else " ") for c, t, r, x in rows if c == conv]
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+        seen, turns, counts = set(), [], Counter()
+        for _, role, text in own:
+            bare = re.sub(WHITE, "", text)
+            fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else ""
+            seen.add((role, text))
+            counts[fault] += 1
+            turns.append((role, text, fault))
+        initials = [r[:1] for r, _, _ in turns]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False))
+        numbers = [t for t, _, _ in own if t is not None]
+        gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+        cost, audit, said = cheapest(turns)
+        digest = hashlib.sha256("\n".join(said).encode()).hexdigest()
+        out[conv] = (gaps, counts["blank"], counts["duplicate"], counts["truncated"], illegal, cost, audit, digest)
+    return out
+
+
+COUNTS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+def found_by(frame):
+    result = repair.repair(frame)
+    return {r["conv_id"]: tuple(r[c] for c in COUNTS) for r in repair.report(frame, result).collect()}
+
+
+def odd_conversations():
+    rng = random.Random(3)
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", "User", None]
+    texts = ["Yes.", "No!", "so", "and\n", "", " \t", "x.", None, "é?", "y." * 40]
+    rows = []
+    for conv in range(60):
+        for turn in range(rng.randint(1, 9)):
+            rows.append((conv, turn * rng.choice([1, 1, 1, 3]) if conv % 4 else turn // 2, rng.choice(roles), rng.choice(texts)))
+    rows += [(None, 0, "user", "Who."), (None, 0, "user", "Who."), (None, None, "assistant", "Me"), (70, None, "user", "a."), (70, None, "system", "b.")]
+    rows += [(71, 4, "user", "again.")] * 5
+    return rows
+
+
+def test_repairs_are_the_cheapest(spark):
+    rows = odd_conversations()
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], "conv_id long, turn long, role string, text string, code string, row int")
+    assert found_by(frame.repartition(5)) == repaired(rows)
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    """Small shuffles keep their partitions, as large ones do."""
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    yield spark
+    spark.conf.unset(setting)
+
+
+def test_a_long_conversation_is_spread(uncoalesced):
+    spark = uncoalesced
+    rng = random.Random(5)
+    rows = [(9, i, rng.choice(["user", "assistant", "assistant"]), f"turn {i}" + rng.choice([".", ".", ""])) for i in range(3000)]
+    rows += [(9, 5000, "user", "the same.")] * 300 + [(8, 0, "user", "z" * 1_000_000 + "."), (8, 1, "assistant", "ok.")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    found = found_by(frame)
+    symbols = found[9]
+    assert symbols[2] == 299 and symbols[0] == 2000 and len(symbols[6]) >= 3300
+    assert found[8] == (0, 0, 0, 0, 0, 0, "KK", hashlib.sha256(f"user:{rows[-2][3]}\nassistant:ok.".encode()).hexdigest())
+    turns = repair._turns(frame)
+    assert turns.filter("conv_id = 9").select(F.shiftright("row", 33)).distinct().count() > 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_audits_of_random_signatures(seed):
+    """The automaton's cost and audit against the search, and one path for signatures with equal ends."""
+    rng = random.Random(seed)
+    signatures = sorted({"".join(rng.choices("suaxdSUAX", k=rng.randint(1, 8))) for _ in range(150)}, key=lambda s: s[::-1])
+    batches = [pa.RecordBatch.from_pydict({"symbols": signatures[i : i + 40]}) for i in range(0, len(signatures), 40)]
+    found = {r["symbols"]: (r["cost"], r["audit"]) for b in repair._walk(iter([*batches, batches[0].slice(0, 0)])) for r in b.to_pylist()}
+    for symbols in signatures:
+        turns = [(s.lower(), "t", "blank" if s == "d" else "truncated" if s.isupper() else "") for s in symbols]
+        assert found[symbols] == cheapest(turns)[:2], symbols
+
+
+def test_no_conversations(spark):
+    frame = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert found_by(frame) == {}
+    gone = spark.createDataFrame([(1, 0, "user", "a.")], frame.schema)
+    report = repair.report(gone, repair.repair(gone.limit(0))).collect()
+    assert [tuple(r) for r in report] == [(1, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
+
+
+def test_damage(spark):
+    rows = [(c, t, "assistant", "One. Two!") for c in range(30) for t in range(3)] + [(None, None, None, None), (1, None, "user", "x")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    expected = []
+    for conv, turn, role, text in rows:
+        case = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if case == 1 else re.sub("[.!?]", "", text) if case == 2 else text
+        expected += [(conv, turn, "user" if case == 4 else role, text)] * (0 if case == 0 else 2 if case == 3 else 1)
+    assert sorted(map(tuple, repair.damaged(frame).collect()), key=repr) == sorted(expected, key=repr)
+
+
+# --- resampling ------------------------------------------------------------------------------------------
+
+
+def runs_of(text, longest=2):
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    runs = [" ".join(words[i : i + k]) for k in range(1, longest + 1) for i in range(len(words) - k + 1)]
+    return len(words), [zlib.crc32(r.encode()) for r in runs]
+
+
+def drawn(documents, target, buckets, percent, least):
+    held, wanted = Counter(), Counter()
+    for side, rows in ((held, documents), (wanted, target)):
+        for _, text in rows:
+            side.update(c % buckets for c in runs_of(text)[1])
+    all_held, all_wanted = sum(held.values()), sum(wanted.values())
+    out = []
+    for doc, text in documents:
+        n, crcs = runs_of(text)
+        gain = [
+            math.floor(1000 * math.log((wanted[b] + 1) * (all_held + buckets) / ((held[b] + 1) * (all_wanted + buckets))))
+            for b in (c % buckets for c in crcs)
+        ]
+        weight = sum(gain) // len(gain) if gain else 0
+        score = None
+        if doc is not None:
+            h = int(hashlib.sha256(f"7:{doc}".encode()).hexdigest()[:8], 16)
+            score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([doc, n, len(crcs), weight, score, None])
+    eligible = sorted((r for r in out if r[1] >= least and r[0] is not None), key=lambda r: (-r[4], r[0], r[3], r[2]))
+    for rank, row in enumerate(eligible[: percent * len(eligible) // 100], 1):
+        row[5] = rank
+    return sorted(map(tuple, out), key=repr)
+
+
+@pytest.mark.parametrize(("block", "buckets", "percent"), [(1 << 17, 10000, 25), (3, 7, 50), (1, 100, 100)])
+def test_draw_equals_brute_force(spark, monkeypatch, block, buckets, percent):
+    monkeypatch.setattr(resampling, "BLOCK", block)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abAB9é漢", k=rng.choice([1, 2, 4, 60])))
+    documents = [(i, " ,".join(word() for _ in range(rng.randint(0, 60)))) for i in range(120)]
+    documents += [(500, None), (501, ""), (502, " .;"), (None, "a " * 30), (503, "Z " * 9000), (504, "b\x00c " * 20)]
+    documents += [(600, "same words " * 15)] * 4 + [(601, "same words " * 15)]
+    target = [(i, " ".join(word() for _ in range(20))) for i in range(30)] + [(None, None)]
+    frame = spark.createDataFrame([(*r, 1, 2) for r in documents], "doc_id long, text string, rank int, weighed_id int").repartition(4)
+    wanted = spark.createDataFrame(target, "item_id long, text string")
+    found = resampling.resample(frame, wanted, percent=percent, buckets=buckets)
+    assert found.columns == ["doc_id", "n_words", "n_features", "weight", "score", "rank"]
+    assert sorted(map(tuple, found.collect()), key=repr) == drawn(documents, target, buckets, percent, 20)
+
+
+def test_runs_do_not_cross_texts():
+    group = [b"A b", b"", b"c", "é d".encode(), b"\x00", b"x" * 200 + b" y " + b"z" * 100]
+    for longest in (1, 2, 3):
+        found = sorted((int(r), int(c)) for _, rows, crcs in resampling.features(group, longest) for r, c in zip(rows, crcs, strict=True))
+        assert found == sorted((i, c) for i, t in enumerate(group) for c in runs_of(t.decode(), longest)[1])
+
+
+def test_draw_from_nothing(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    some = spark.createDataFrame([(1, "a b " * 20), (2, "c d " * 20)], "doc_id long, text string")
+    assert resampling.resample(empty, empty).count() == 0
+    assert {r["rank"] for r in resampling.resample(some, empty, percent=100).collect()} == {1, 2}
+    assert resampling.resample(empty, some).count() == 0
+
+
+# --- near-duplicate vectors ------------------------------------------------------------------------------
+
+
+def groups(rows, cosine):
+    usable = [i for i, (v, x) in enumerate(rows) if v is not None and x and all(c is not None and math.isfinite(c) for c in x) and any(x)]
+    unit = {i: np.array(rows[i][1], dtype=np.float64) for i in usable}
+    unit = {i: x / np.abs(x).max() / np.linalg.norm(x / np.abs(x).max()) for i, x in unit.items()}
+    near = {i: [j for j in usable if j != i and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= cosine] for i in usable}
+    out = []
+    for i, (v, _) in enumerate(rows):
+        reached, todo = {i}, [i]
+        while todo:
+            fresh = set(near.get(todo.pop(), [])) - reached
+            reached |= fresh
+            todo += fresh
+        first = None if v is None else min(rows[j][0] for j in reached)
+        out.append((v, len(near.get(i, [])), first, v == first))
+    return sorted(out, key=repr)
+
+
+def vectors():
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(40, 8))
+    rows = [[float(x) for x in np.float32(b + rng.normal(size=8) * rng.choice([0.02, 0.15, 0.5]))] for b in base for _ in range(8)]
+    rows += [[float(x) for x in np.float32(base[0] * 3 + rng.normal(size=8) * 0.01)] for _ in range(150)]  # a group of near copies
+    rows += [rows[5]] * 40 + [[2 * x for x in rows[5]]] * 3
+    rows = [(int(i), v) for i, v in zip(rng.permutation(len(rows)), rows, strict=True)]
+    odd = [None, [], [0.0] * 8, [None, 1.0], [float("nan")] * 8, [float("inf"), 1.0], [1.0, 2.0], [1.0, 2.1], [1e30] * 8, [1e-30] * 8, [1.0] * 8]
+    rows += [(1000 + i, v) for i, v in enumerate(odd)]
+    return rows + [(None, [1.0, 2.0]), (None, None), (3, [1.0, 2.0]), (4, [-1.0, 2.0]), (4, [-1.0, 2.05])]
+
+
+@pytest.mark.parametrize(("block", "per_cell", "most_cells"), [(8192, 16384, 1024), (7, 30, 1024), (16, 20, 5), (1, 600, 2)])
+def test_links_equal_all_products(spark, monkeypatch, block, per_cell, most_cells):
+    monkeypatch.setattr(cells, "BLOCK", block)
+    monkeypatch.setattr(cells, "STRIP", 5)
+    rows = vectors()
+    frame = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<float>, size int, node int")
+    expected = [list(r) for r in rows]
+    found = cells.near_duplicates(frame.repartition(3), per_cell=per_cell, most_cells=most_cells)
+    ids = [v for v, x in expected if v is not None]
+    assert found.columns == ["vec_id", "n_links", "component_id", "kept"]
+    assert len(ids) > len(set(ids))
+    single = [(v, [float(np.float32(c)) if c is not None else None for c in x] if x is not None else None) for v, x in rows]
+    assert sorted(map(tuple, found.collect()), key=repr) == [
+        (v, n, c, k) for v, n, c, k in sorted(((v, n, c, v == c) for v, n, c, _ in groups([r if r[0] is not None else (None, None) for r in single], 0.95)), key=repr)
+    ]
+
+
+def test_margin_finds_most_links(spark):
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(400, 32))
+    rows = [(int(i * 2 + k), [float(x) for x in b + rng.normal(size=32) * 0.1 * k]) for i, b in enumerate(base) for k in range(2)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact = groups(rows, 0.95)
+    found = {r["vec_id"]: r["n_links"] for r in cells.near_duplicates(frame, per_cell=50, margin=0.4).collect()}
+    assert all(found[v] <= n for v, n, _, _ in exact)
+    assert sum(found.values()) >= 0.9 * sum(n for _, n, _, _ in exact)
+
+
+def test_no_vectors(spark):
+    frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert cells.near_duplicates(frame).count() == 0
+    assert cells.near_duplicates(spark.createDataFrame([(1, None)], frame.schema)).collect()[0]["kept"]
