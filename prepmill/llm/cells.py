@@ -8,7 +8,7 @@ guest in each other cell whose border it is near: a node x with home a can have
 
 Members within half the angle of a cell's centre, its core, all link with one another. They are counted by their number, not compared, so
 that a group of near copies that holds a third of all rows costs no square of its size. Everything else is compared in blocks of
-``BLOCK`` by ``BLOCK`` nodes, each block a task of its own. A block returns for each of its nodes the number of links and
+``BLOCK`` by ``BLOCK`` nodes, each block a task of its own; a product over a quarter of the components, whose bound no link can miss, goes ahead. A block returns for each of its nodes the number of links and
 the smallest node of its group within the block, no pairs.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do rows with a null id, and
@@ -132,6 +132,34 @@ def _roots(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.
     return roots
 
 
+def _bounded(points: np.ndarray) -> np.ndarray:
+    """Rows whose inner product is that of two unit vectors or more: a turned vector's first quarter and the length of the rest
+    (by Cauchy-Schwarz). The turn is random, the same for all vectors of one length."""
+    length = points.shape[1]
+    if length < 24:
+        return points.astype(np.float32)
+    turn, _ = np.linalg.qr(np.random.default_rng(length).normal(size=(length, length)))
+    turned = points @ turn
+    rest = np.sqrt((turned[:, length // 4 :] ** 2).sum(axis=1))
+    return np.column_stack([turned[:, : length // 4], rest]).astype(np.float32)
+
+
+def _linked(left: np.ndarray, right: np.ndarray, cosine: float) -> np.ndarray:
+    """Which rows have ``cosine`` or more with which: a cheap bound in single precision leaves few pairs to multiply whole."""
+    linked = np.zeros((len(left), len(right)), dtype=bool)
+    low_left, low_right = _bounded(left), _bounded(right)
+    for a in range(0, len(left), STRIP):
+        at, to = np.nonzero(low_left[a : a + STRIP] @ low_right.T >= np.float32(cosine - 1e-4))
+        if 8 * len(at) > STRIP * len(right):
+            linked[a : a + STRIP] = left[a : a + STRIP] @ right.T >= cosine
+            continue
+        for b in range(0, len(at), 1 << 16):
+            x, y = at[b : b + (1 << 16)], to[b : b + (1 << 16)]
+            near = np.einsum("ij,ij->i", left[a + x], right[y]) >= cosine
+            linked[a + x[near], y[near]] = True
+    return linked
+
+
 def _compare(cosine: float):
     """The links of one block: of one set of nodes among themselves, or of two sets with each other."""
 
@@ -143,22 +171,19 @@ def _compare(cosine: float):
         nodes, sizes, home = (np.asarray(unit.column(c)) for c in ("node", "size", "home"))
         points = _matrix(unit.column("vector").combine_chunks(), length)
         left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
-        linked = np.zeros((len(left), len(right)), dtype=bool)
-        for a in range(0, len(left), STRIP):
-            linked[a : a + STRIP] = points[left[a : a + STRIP]] @ points[right].T >= cosine
+        linked = _linked(points[left], points[right], cosine)
         if low == high:
             np.fill_diagonal(linked, False)
-        links = np.zeros(len(nodes), dtype=np.int64)
-        for a in range(0, len(left), STRIP):
-            links[left[a : a + STRIP]] += linked[a : a + STRIP] @ sizes[right]
-        roots = nodes.copy()
+        links, roots = np.zeros(len(nodes), dtype=np.int64), nodes.copy()
         if linked.any():
-            of_left, of_right = _roots(linked, nodes[left], nodes[right])
-            if low != high:
-                for a in range(0, len(right), STRIP):
-                    links[right[a : a + STRIP]] += sizes[left] @ linked[:, a : a + STRIP]
-                roots[right] = of_right
-            roots[left] = of_left
+            for a in range(0, len(left), STRIP):
+                at, to = np.nonzero(linked[a : a + STRIP])
+                links[left[a : a + STRIP]] += np.bincount(at, sizes[right[to]], len(left[a : a + STRIP])).astype(np.int64)
+                if low != high:
+                    links[right] += np.bincount(to, sizes[left[a + at]], len(right)).astype(np.int64)
+            roots_left, roots_right = _roots(linked, nodes[left], nodes[right])
+            roots[right] = roots_right
+            roots[left] = roots_left
         links[~home] = 0  # a guest's links are counted where it is at home
         told = (links > 0) | (roots != nodes)
         return pa.table([pa.array(x[told]) for x in (nodes, links, roots)], names=["node", "links", "root"])
