@@ -1,6 +1,6 @@
 """Token counts by section, attributed by offsets.
 
-A document is encoded once, whole. Each token has a character span; the spans are joined with the
+A document is encoded once, whole. Each token has a span of UTF-8 bytes; the spans are joined with the
 spans of the document's sections (intervals that cover the text without overlap) by a search in the
 sorted section starts. A token that crosses a section boundary goes by an explicit rule:
 
@@ -67,30 +67,32 @@ def token_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
-        for batch in batches:
-            done = 0
-            for group in text_groups(batch.column(1).to_pylist()):
-                ids, bounds = known.encode(group)
-                rows: dict[str, list] = {"n_tokens": np.diff(bounds).tolist(), "starts": [], "tokens": [], "crossing": []}
-                for text, a, b in zip(group, bounds[:-1], bounds[1:], strict=True):
-                    starts = sections(text.encode())
-                    counts, crossing = attribute(known.lengths[ids[a:b]], starts, rule)
-                    rows["starts"].append(starts)
-                    rows["tokens"].append(counts)
-                    rows["crossing"].append(crossing)
-                listed = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(done, len(group)),
-                        pa.array(rows["n_tokens"], pa.int64()),
-                        pa.array(rows["starts"], listed),
-                        pa.array(rows["tokens"], listed),
-                        pa.array(rows["crossing"], pa.int64()),
-                    ],
-                    names=["doc_id", "n_tokens", "starts", "tokens", "crossing"],
-                )
-                done += len(group)
-        known.forget()
+        try:
+            for batch in batches:
+                done = 0
+                for group in text_groups(batch.column(1).to_pylist()):
+                    ids, bounds = known.encode(group)
+                    rows: dict[str, list] = {"n_tokens": np.diff(bounds).tolist(), "starts": [], "tokens": [], "crossing": []}
+                    for text, a, b in zip(group, bounds[:-1], bounds[1:], strict=True):
+                        starts = sections(text.encode())
+                        counts, crossing = attribute(known.lengths[ids[a:b]], starts, rule)
+                        rows["starts"].append(starts)
+                        rows["tokens"].append(counts)
+                        rows["crossing"].append(crossing)
+                    listed = pa.list_(pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).slice(done, len(group)),
+                            pa.array(rows["n_tokens"], pa.int64()),
+                            pa.array(rows["starts"], listed),
+                            pa.array(rows["tokens"], listed),
+                            pa.array(rows["crossing"], pa.int64()),
+                        ],
+                        names=["doc_id", "n_tokens", "starts", "tokens", "crossing"],
+                    )
+                    done += len(group)
+        finally:  # also when the reader of this task wants no more
+            known.forget()
 
     chosen = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     return chosen.mapInArrow(run, SCHEMA)

@@ -8,10 +8,13 @@ lookup in a table. State before a character and its symbol say whether a piece b
 regular expression runs over the text.
 
 The pieces between boundaries feed the merge of neighbouring byte pairs by rank; finished pieces are
-kept in a bounded cache; equal pieces of a chunk are found by 64-bit hash and merged once. Token lengths give the byte offset of every token.
+kept in a bounded cache. Equal pieces of a chunk are merged once: they are found by hash and then compared byte by byte, and a
+chunk in which a hash misleads is grouped by the bytes themselves. Token lengths give the byte offset of every token; decoding
+gathers the bytes of all ids of a chunk from one table.
 
 Defined cases: a null text is the empty text, which has no tokens; repeated rows are each encoded;
-columns other than the id and the text are ignored.
+columns other than the id and the text are ignored. ``decode`` replaces a column named ``decoded``; null ids decode to
+nothing, an id beyond the vocabulary is an error.
 """
 
 from __future__ import annotations
@@ -25,7 +28,6 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,6 +168,23 @@ def boundaries(codepoints: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins[before, symbols])
 
 
+def _grouped(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(group of each piece, first piece of each group) of the pieces between edges, grouped by their bytes."""
+    starts, sizes = edges[:-1], np.diff(edges)
+    _, sample, code = np.unique(span_hashes(data, starts, edges[1:]), return_index=True, return_inverse=True)
+    like = sample[code]
+    same = bool((sizes == sizes[like]).all())
+    if same:
+        moved = np.flatnonzero(like != np.arange(len(like)))
+        own = np.repeat(starts[moved] - (np.cumsum(sizes[moved]) - sizes[moved]), sizes[moved]) + np.arange(sizes[moved].sum())
+        same = bool((data[own] == data[own + np.repeat((starts[like] - starts)[moved], sizes[moved])]).all())
+    if not same:
+        raw, known = data.tobytes(), {}
+        code = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip(starts.tolist(), edges[1:].tolist(), strict=True)])
+        _, sample = np.unique(code, return_index=True)
+    return code, sample
+
+
 class Vocabulary:
     """Ranks of byte strings, which are the token ids."""
 
@@ -177,6 +196,8 @@ class Vocabulary:
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
         self.lengths = np.array([len(t) for t in self.tokens], dtype=np.int64)
+        self.flat = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
+        self.begins = np.cumsum(self.lengths) - self.lengths
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -273,9 +294,7 @@ class Vocabulary:
                 widths += codepoints >= limit
             cut = (np.cumsum(widths) - widths)[begin]
         data, edges = np.frombuffer(raw, dtype=np.uint8), np.append(cut, len(raw))
-        code, distinct = pd.factorize(span_hashes(data, edges[:-1], edges[1:]))
-        sample = np.zeros(len(distinct), dtype=np.int64)
-        sample[code[::-1]] = np.arange(len(code))[::-1]
+        code, sample = _grouped(data, edges)
         get, piece = self.get, self.piece
         pieces = [
             get(s) or piece(s) for s in (raw[a:b] for a, b in zip(edges[sample], edges[sample + 1], strict=True))
@@ -289,6 +308,15 @@ class Vocabulary:
         return ids, ends[np.searchsorted(begin, char_starts)]
 
 
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """The bytes of each run of ids between bounds."""
+        sizes = self.lengths[ids]
+        ends = np.append(0, np.cumsum(sizes))
+        data = self.flat[np.repeat(self.begins[ids] - ends[:-1], sizes) + np.arange(ends[-1])]
+        offsets = ends[bounds].astype(np.int64)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.binary())
+
+
 @functools.lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary of a rank file, read once per worker process."""
@@ -309,51 +337,60 @@ def text_groups(texts: list, limit: int = CHUNK_CHARS) -> Iterator[list[str]]:
         yield group
 
 
-def encode(documents: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, ids array<int>, ends array<int>): the tokens of each whole text and the byte offset at
-    which each token ends."""
-
+def _encoder(path: str, id_column: str, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
-        for batch in batches:
-            done = 0
-            for group in text_groups(batch.column(1).to_pylist()):
-                ids, bounds = known.encode(group)
-                ends = np.cumsum(known.lengths[ids])
-                base = np.append(0, ends)[bounds[:-1]]
-                ends = (ends - np.repeat(base, np.diff(bounds))).astype(np.int32)
-                offsets = pa.array(bounds.astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
+        try:
+            for batch in batches:
+                done = 0
+                for group in text_groups(batch.column(1).to_pylist()):
+                    ids, bounds = known.encode(group)
+                    ends = np.cumsum(known.lengths[ids])
+                    base = np.append(0, ends)[bounds[:-1]]
+                    ends = (ends - np.repeat(base, np.diff(bounds))).astype(np.int32)
+                    offsets = pa.array(bounds.astype(np.int32))
+                    columns = [
                         batch.column(0).slice(done, len(group)),
                         pa.ListArray.from_arrays(offsets, pa.array(ids)),
                         pa.ListArray.from_arrays(offsets, pa.array(ends)),
-                    ],
-                    names=[id_column, "ids", "ends"],
-                )
-                done += len(group)
-        known.forget()
-
+                    ]
+                    if decoded:
+                        columns.append(known.decode(ids, bounds))
+                    yield pa.RecordBatch.from_arrays(columns, names=[id_column, "ids", "ends", "decoded"][: len(columns)])
+                    done += len(group)
+        finally:  # also when the reader of this task wants no more
+            known.forget()
+
+    return run
+
+
+def encode(
+    documents: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", decoded: bool = False
+) -> DataFrame:
+    """(id, ids array<int>, ends array<int>): the tokens of each whole text and the byte offset at which each token ends.
+    ``decoded`` adds the bytes that the ids stand for, read back in the same pass."""
     chosen = documents.select(id_column, F.col(text_column).cast("string").alias("text"))
     kind = chosen.schema[0].dataType.simpleString()
-    return chosen.mapInArrow(run, f"`{id_column}` {kind}, ids array<int>, ends array<int>")
+    schema = f"`{id_column}` {kind}, ids array<int>, ends array<int>" + (", decoded binary" if decoded else "")
+    return chosen.mapInArrow(_encoder(path, id_column, decoded), schema)
 
 
 def decode(encoded: DataFrame, path: str, ids_column: str = "ids") -> DataFrame:
     """``encoded`` with the bytes of its ids as ``decoded`` in place of the id column."""
-    kept = [c for c in encoded.columns if c != ids_column]
+    kept = [c for c in encoded.columns if c not in (ids_column, "decoded")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = vocabulary(path).tokens.__getitem__
+        known = vocabulary(path)
         for batch in batches:
-            listed = batch.column(ids_column)
             for at in range(0, batch.num_rows, 256):
-                part = listed.slice(at, 256)
-                raw = [b"".join(map(token, ids.as_py() or [])) for ids in part]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(at, 256) for c in kept), pa.array(raw, pa.binary())],
-                    names=[*kept, "decoded"],
-                )
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name != ids_column)
-    return encoded.select(*kept, ids_column).mapInArrow(run, f"{schema}, decoded binary")
+                part = batch.slice(at, 256)
+                listed = part.column(len(kept))
+                sizes = np.asarray(listed.value_lengths().fill_null(0))
+                raw = known.decode(np.asarray(listed.flatten()), np.append(0, np.cumsum(sizes)))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], raw], names=[*kept, "decoded"])
+
+    fields = {f.name: f.dataType.simpleString() for f in encoded.schema}
+    schema = "".join(f"`{c}` {fields[c]}, " for c in kept)
+    ids = F.array_compact(F.col(f"`{ids_column}`")).alias("ids")
+    numbered = encoded.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), ids)  # mapInArrow takes no dotted names
+    return numbered.mapInArrow(run, f"{schema}decoded binary")

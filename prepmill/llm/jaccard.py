@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prepmill.llm.components import components
-from prepmill.llm.textbytes import LOWER, chunks, joined, mixed, row_hashes, span_hashes, word_spans
+from prepmill.llm.textbytes import LOWER, chunks, joined, mixed, prime_hashes, row_hashes, word_spans
 from prepmill.sources.storage import materialize
 
 COUNTERS = 1 << 20
@@ -49,7 +49,7 @@ def shingle_sets(group: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     data = LOWER[data]
     starts, ends = word_spans(IS_WORD[data])
     bounds = np.append(np.searchsorted(starts, text_starts), len(starts))
-    words = span_hashes(data, starts, ends)
+    words = prime_hashes(data, starts, ends)
     rows = np.repeat(np.arange(len(group)), np.diff(bounds))
     hashes = row_hashes(words, n)
     inside = rows[: len(hashes)] == rows[n - 1 :]

@@ -51,15 +51,13 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = public_tokenizers.path(VOCABULARY)
-    encoded = bpe.encode(table(spark, folder, "documents"), path).select(
+    encoded = bpe.encode(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), decoded=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    decoded = bpe.decode(encoded, path)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:

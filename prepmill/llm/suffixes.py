@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from prepmill.llm.buckets import bucketed
-from prepmill.llm.textbytes import chunks, joined, mixed, powers, prefix_sums
+from prepmill.llm.textbytes import chunks, joined, mixed, powers, prefix_sums, prime_hashes
 from prepmill.sources.storage import materialize
 
 PART_ROWS = 4096
@@ -203,9 +203,7 @@ class _Text:
         return anchors[:-1][same], anchors[1:][same]
 
     def segment_hashes(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        ends = last + self.length
-        _, inverse = powers(len(self.sums))
-        return mixed((self.sums[ends] - self.sums[first]) * inverse[first] + (ends - first).astype(np.uint64))
+        return prime_hashes(self.data, first, last + self.length)
 
     def candidates(self, names: _Known) -> np.ndarray:
         """For each position, how many windows up to it may begin a repeated string (a running count)."""

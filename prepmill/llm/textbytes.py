@@ -7,6 +7,7 @@ longest text and not the batch.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,6 +85,55 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+PRIME = np.uint64((1 << 61) - 1)
+_PRIME_BASE = 0x1B873593CC9E2D51 % ((1 << 61) - 1)
+_LOW = {bits: np.uint64((1 << bits) - 1) for bits in (29, 30, 31, 32)}
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, of numbers below PRIME: products of halves, with 2**61 counted as 1."""
+    low_a, high_a = a & _LOW[31], a >> np.uint64(31)
+    low_b, high_b = b & _LOW[31], b >> np.uint64(31)
+    middle = low_a * high_b + high_a * low_b
+    total = np.uint64(2) * high_a * high_b + (middle >> np.uint64(30)) + ((middle & _LOW[30]) << np.uint64(31)) + low_a * low_b
+    return _reduced(total)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+@functools.lru_cache(maxsize=1)
+def _prime_powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """_PRIME_BASE**i and its inverse modulo PRIME for i < 2**bits."""
+    out = []
+    for base in (_PRIME_BASE, pow(_PRIME_BASE, -1, int(PRIME))):
+        power = np.ones(1, dtype=np.uint64)
+        for k in range(bits):
+            power = np.concatenate([power, times(power, np.full(1, pow(base, 1 << k, int(PRIME)), dtype=np.uint64))])
+        out.append(power)
+    return out[0], out[1]
+
+
+def prime_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``span_hashes`` modulo a prime: spans of any length that differ have different hashes but for chance, while modulo a power of
+    two some long words and their complements always meet. For equality that is not looked at again."""
+    bits = max(20, int(len(data)).bit_length())  # one table for all but very long texts
+    power, inverse = _prime_powers(bits)
+    value = data.astype(np.uint64) + np.uint64(1)
+    high = value * (power[: len(data)] >> np.uint64(32))
+    terms = (high >> np.uint64(29)) + ((high & _LOW[29]) << np.uint64(32)) + value * (power[: len(data)] & _LOW[32])
+    sums = []
+    for half in (terms & _LOW[32], terms >> np.uint64(32)):
+        total = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(half, out=total[1:])
+        sums.append(total[ends] - total[starts])
+    low, high = sums
+    total = _reduced((high >> np.uint64(29)) + ((high & _LOW[29]) << np.uint64(32)) + low)
+    return mixed(times(total, inverse[starts]) + (ends - starts).astype(np.uint64) * BASE)
+
+
 def row_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """A hash of each run of n neighbouring word hashes, in order."""
     if len(words) < n:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import heapq
 import math
@@ -11,11 +12,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
-from prepmill.llm import cells, repair, resampling
+from prepmill.llm import attribution, bpe, cells, jaccard, repair, resampling, suffixes, textbytes
 
 # --- conversation repair ---------------------------------------------------------------------------------
 
@@ -282,3 +285,56 @@ def test_no_vectors(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert cells.near_duplicates(frame).count() == 0
     assert cells.near_duplicates(spark.createDataFrame([(1, None)], frame.schema)).collect()[0]["kept"]
+
+
+# --- equality of spans -----------------------------------------------------------------------------------
+
+
+def complements(doublings=10):
+    """A word over a and b and its complement, which hashes modulo a power of two do not tell apart."""
+    word, swap = "a", str.maketrans("ab", "ba")
+    for _ in range(doublings):
+        word += word.translate(swap)
+    return word, word.translate(swap)
+
+
+def test_complements_are_different_words(spark):
+    word, other = complements()
+    data = np.frombuffer((word + other).encode(), dtype=np.uint8)
+    starts, ends = np.array([0, 1024]), np.array([1024, 2048])
+    assert len(set(textbytes.span_hashes(data, starts, ends).tolist())) == 1
+    assert len(set(textbytes.prime_hashes(data, starts, ends).tolist())) == 2
+    frame = spark.createDataFrame([(1, word), (2, other), (3, word)], "doc_id long, text string").coalesce(1)
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoded = {r["doc_id"]: r for r in bpe.encode(frame, path, decoded=True).collect()}
+    assert {i: r["ids"] for i, r in encoded.items()} == {1: library.encode(word), 2: library.encode(other), 3: library.encode(word)}
+    assert {i: bytes(r["decoded"]).decode() for i, r in encoded.items()} == {1: word, 2: other, 3: word}
+    counted = {r["doc_id"]: r["n_tokens"] for r in attribution.token_counts(frame, path).collect()}
+    assert counted == {i: len(r["ids"]) for i, r in encoded.items()}
+    components = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(frame).collect()}
+    assert components == {1: 1, 2: 2, 3: 1}
+
+
+def test_complements_are_not_repeats(spark):
+    """Texts that share nothing of 400 bytes but have stretches whose hashes modulo a power of two are equal."""
+    word, other = complements(12)
+    texts = [word, other, "x" + word[:2000]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    starts = Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
+    for row in suffixes.cut_repeats(frame).collect():
+        text, gone = texts[row["doc_id"]], set()
+        for i in range(len(text) - 399):
+            if starts[text[i : i + 400]] > 1:
+                gone.update(range(i, i + 400))
+        assert row["n_removed"] == len(gone)
+
+
+def test_decode_of_odd_columns(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    frame = spark.createDataFrame([("x", [65, None, 66], 1), ("y", None, 2), ("z", [], 3)], "decoded string, ids array<int>, n int").withColumnRenamed("n", "a.b")
+    known = bpe.vocabulary(path)
+    rows = {r["a.b"]: bytes(r["decoded"]) for r in bpe.decode(frame, path).collect()}
+    assert rows == {1: known.tokens[65] + known.tokens[66], 2: b"", 3: b""}
