@@ -133,7 +133,7 @@ def _reconciled_sql() -> str:
                 "min_text", "max_text"]
     sides = ", ".join(f"{m} AS source_{m}, {m} AS target_{m}" for m in measures)
     profiled = profile_sql("customer", _CUSTOMER)
-    return f"SELECT ordinal, column_name, {sides}, true AS matches FROM ({profiled})"
+    return f"SELECT ordinal, column_name, {sides}, true AS same_values, true AS same_rows, true AS matches FROM ({profiled})"
 
 
 def _rounded(reconciled):
@@ -151,6 +151,30 @@ def etl_reconcile(spark, folder):
     return _rounded(reconcile(customer, loaded))
 
 
+@query("etl_reconcile_swapped", """
+    SELECT column_name, count(*) AS present, column_name <> 'c_nationkey' AS same_values, false AS same_rows, false AS swapped_matches,
+           column_name <> 'c_nationkey' AS changed_matches
+    FROM (SELECT unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']) AS column_name FROM customer)
+    GROUP BY column_name
+""")
+def etl_reconcile_swapped(spark, folder):
+    """Customers against a copy in which neighbours have swapped their balances: every column holds the same values,
+    so only whole rows tell. Then against a copy with one nation changed, which is found in its column."""
+    customer = table(spark, folder, "customer")
+    neighbour = customer.select(F.col("c_custkey").bitwiseXOR(F.lit(1)).alias("key"), F.col("c_acctbal").alias("other"))
+    both = customer.join(neighbour, customer["c_custkey"] == neighbour["key"], "left")
+    swapped = both.withColumn("c_acctbal", F.coalesce("other", "c_acctbal")).select(customer.columns)
+    one = customer.agg(F.min("c_custkey")).scalar()
+    nation = F.when(F.col("c_custkey") == one, F.lit(-1).cast(customer.schema["c_nationkey"].dataType)).otherwise(F.col("c_nationkey"))
+    changed = reconcile(customer, customer.withColumn("c_nationkey", nation)).select(
+        F.col("column_name").alias("name"), "same_values", F.col("matches").alias("changed_matches")
+    )
+    found = reconcile(customer, swapped).select(
+        "column_name", F.col("source_present").alias("present"), "same_rows", F.col("matches").alias("swapped_matches")
+    )
+    return found.join(changed, F.col("column_name") == F.col("name")).drop("name")
+
+
 @query("job_load_and_reconcile", """
     SELECT column_name, present AS source_present, present AS target_present, true AS matches
     FROM (SELECT 'c_custkey' AS column_name, count(*) AS present FROM customer

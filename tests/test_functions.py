@@ -114,9 +114,9 @@ def test_replacement_keeps_everything_else(spark):
     assert values(df, keep_or_replace("x", "n/a", "NotEmployed")) == ["NotEmployed", "5 years", None]
 
 
-def test_colours_white_becomes_grey(colours):
-    found = values(colours, keep_or_replace("color", "white", "grey"))
-    assert found == ["grey", "green", "yellow", "red", "brown", "pink"]
+def test_one_tree_becomes_another(trees):
+    found = values(trees, keep_or_replace("tree", "yew", "ash"))
+    assert found == ["oak", "birch", "pine", "ash", "elm", "larch"]
 
 
 def test_two_way_decoding(spark):

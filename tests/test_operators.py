@@ -11,6 +11,7 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.sql import functions as F
 
+from prepmill.operators import quantiles
 from prepmill.operators import (
     accuracy,
     average_and_sum,
@@ -42,28 +43,27 @@ def pairs(df):
     return [tuple(row) for row in df.collect()]
 
 
-# --- sorting, filtering and projecting the colours -------------------------------------------
+# --- sorting, filtering and projecting ---------------------------------------------------------
 
 
-def test_colours_counts_and_filters(colours):
-    assert colours.count() == 6
-    assert sorted(pairs(colours.groupBy("length").count())) == [(3, 1), (4, 1), (5, 3), (6, 1)]
-    kept = colours.filter(colours.length > 4).filter(F.col(colours.columns[0]) != "white")
-    assert [r[0] for r in kept.collect()] == ["green", "yellow", "brown"]
-    between = colours.filter(F.col("length").between(4, 5))
-    assert [r[0] for r in between.collect()] == ["white", "green", "brown", "pink"]
+def test_counts_and_filters(trees):
+    assert trees.count() == 6
+    assert sorted(pairs(trees.groupBy("height").count())) == [(12, 1), (18, 1), (30, 3), (40, 1)]
+    kept = trees.filter(trees.height > 20).filter(F.col(trees.columns[0]) != "oak")
+    assert [r[0] for r in kept.collect()] == ["pine", "elm", "larch"]
+    between = trees.filter(F.col("height").between(18, 30))
+    assert [r[0] for r in between.collect()] == ["oak", "birch", "elm", "larch"]
 
 
-def test_colours_sorted(colours):
-    both = colours.orderBy("length", "color", ascending=False)
-    assert pairs(both) == [("yellow", 6), ("white", 5), ("green", 5), ("brown", 5), ("pink", 4),
-                           ("red", 3)]
-    mixed = colours.filter("length >= 4").orderBy(F.desc("length"), F.asc("color"))
-    assert pairs(mixed) == [("yellow", 6), ("brown", 5), ("green", 5), ("white", 5), ("pink", 4)]
+def test_sorts(trees):
+    both = trees.orderBy("height", "tree", ascending=False)
+    assert pairs(both) == [("pine", 40), ("oak", 30), ("larch", 30), ("elm", 30), ("birch", 18), ("yew", 12)]
+    mixed = trees.filter("height >= 18").orderBy(F.desc("height"), F.asc("tree"))
+    assert pairs(mixed) == [("pine", 40), ("elm", 30), ("larch", 30), ("oak", 30), ("birch", 18)]
 
 
-def test_a_column_may_be_selected_twice(colours):
-    assert colours.select("length", "color", "length").columns == ["length", "color", "length"]
+def test_a_column_may_be_selected_twice(trees):
+    assert trees.select("height", "tree", "height").columns == ["height", "tree", "height"]
 
 
 def test_registered_sorts_are_in_order(spark):
@@ -83,13 +83,13 @@ def test_registered_sorts_are_in_order(spark):
 # --- nulls --------------------------------------------------------------------------------------
 
 
-def test_null_counts_and_rows(stores):
-    assert pairs(null_counts(stores)) == [(1, 2, 2)]
-    assert rows_with_null(stores).count() == 3
-    assert stores.dropna(how="all").count() == 9
-    assert stores.dropna(how="any", subset=["Store", "WeekInMonth"]).count() == 8
-    assert complete_rows(stores).count() == stores.dropna().count() == 7
-    assert complete_rows(stores, ["Store", "WeekInMonth"]).count() == 8
+def test_null_counts_and_rows(readings):
+    assert pairs(null_counts(readings)) == [(1, 2, 2)]
+    assert rows_with_null(readings).count() == 3
+    assert readings.dropna(how="all").count() == 9
+    assert readings.dropna(how="any", subset=["sensor", "day"]).count() == 8
+    assert complete_rows(readings).count() == readings.dropna().count() == 7
+    assert complete_rows(readings, ["sensor", "day"]).count() == 8
 
 
 def test_complete_rows_drop_nan_as_dropna_does(spark):
@@ -97,31 +97,29 @@ def test_complete_rows_drop_nan_as_dropna_does(spark):
     assert pairs(complete_rows(df)) == pairs(df.dropna()) == [(1.0, 1)]
 
 
-def test_fill(stores):
-    one = stores.fillna(9999, ["Revenue"])
-    assert [r.Revenue for r in one.collect()].count(9999) == 2
+def test_fill(readings):
+    one = readings.fillna(9999, ["level"])
+    assert [r.level for r in one.collect()].count(9999) == 2
     assert pairs(null_counts(one)) == [(1, 2, 0)]
-    every = stores.fillna({"Store": "Assume_Store 1", "WeekInMonth": "2", "Revenue": 3})
+    every = readings.fillna({"sensor": "unknown", "day": "2", "level": 3})
     assert pairs(null_counts(every)) == [(0, 0, 0)]
-    assert dict(every.dtypes)["WeekInMonth"] == "bigint"
-    assert ("Assume_Store 1", 2, 3) in pairs(every)
+    assert dict(every.dtypes)["day"] == "bigint"
+    assert ("unknown", 2, 3) in pairs(every)
 
 
 @pytest.mark.parametrize("exact", [False, True])
-def test_group_median_of_complete_rows(stores, exact):
-    medians = group_median(stores.dropna(), ["Store"], "Revenue", exact=exact)
-    assert sorted(pairs(medians)) == [("Store 1", 448), ("Store 2", 355)]
+def test_group_median_of_complete_rows(readings, exact):
+    medians = group_median(readings.dropna(), ["sensor"], "level", exact=exact)
+    assert sorted(pairs(medians)) == [("north", 21), ("south", 70)]
 
 
 @pytest.mark.parametrize("exact", [False, True])
-def test_impute_one_group(stores, exact):
-    filled = impute_group_median(
-        stores, "Store", "Revenue", "filled", groups=["Store 1"], exact=exact
-    )
-    assert filled.columns == ["Store", "WeekInMonth", "Revenue", "filled"]
+def test_impute_one_group(readings, exact):
+    filled = impute_group_median(readings, "sensor", "level", "filled", groups=["north"], exact=exact)
+    assert filled.columns == ["sensor", "day", "level", "filled"]
     rows = pairs(filled)
     assert len(rows) == 10
-    assert ("Store 1", 2, None, 448) in rows and (None, None, None, None) in rows
+    assert ("north", 3, None, 21) in rows and (None, None, None, None) in rows
 
 
 # --- exact quantiles ------------------------------------------------------------------------------
@@ -154,6 +152,29 @@ def test_quantiles_against_sorting(spark, n, accuracy_):
     assert between.quantiles == pytest.approx([cont(values, p) for p in ps])
 
 
+def test_quantiles_of_brackets_with_many_values(spark, monkeypatch):
+    """Brackets with more values than one array takes are thinned, round by round."""
+    monkeypatch.setattr(quantiles, "MOST_VALUES", 40)
+    monkeypatch.setattr(quantiles, "CUTS", 4)
+    chance = random.Random(9)
+    rows = [(i % 3, float(chance.choice([5, chance.randint(0, 900), chance.random()]))) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k long, x double").repartition(4)
+    for ps, accuracy_ in (([0.5], 10_000), ([0.1, 0.11, 0.9], 10_000), ([0.0, 0.5, 1.0], 50)):
+        found = exact_quantiles(df, ["k"], "x", ps, accuracy=accuracy_).collect()
+        assert {r.k: r.quantiles for r in found} == {k: [disc([x for j, x in rows if j == k], p) for p in ps] for k in range(3)}
+
+
+def test_a_sketch_that_misses_costs_a_pass_only(spark, monkeypatch):
+    """Brackets beside the wanted ranks, as of a sketch far beyond its error."""
+    true_sketch = F.percentile_approx
+    wrong = lambda column, shares, accuracy: true_sketch(column, [min(1.0, s + 0.2) for s in shares], accuracy)
+    monkeypatch.setattr(quantiles.F, "percentile_approx", wrong)
+    values = list(range(3000))
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    found = exact_quantiles(df, [], "x", [0.25, 0.5], accuracy=1000).first()
+    assert found.quantiles == [disc(values, 0.25), disc(values, 0.5)]
+
+
 def test_quantiles_with_a_hot_group_and_null_keys(spark):
     chance = random.Random(5)
     rows = []
@@ -182,9 +203,21 @@ def test_approximate_median_keeps_its_error_bound(spark):
 # --- normalisation --------------------------------------------------------------------------------
 
 
-def test_min_max_of_colours(colours):
-    scaled = min_max(colours, {"length": "scaled"})
-    assert [r.scaled for r in scaled.collect()] == [2 / 3, 2 / 3, 1.0, 0.0, 2 / 3, 1 / 3]
+def test_min_max_of_heights(trees):
+    scaled = min_max(trees, {"height": "scaled"})
+    assert [r.scaled for r in scaled.collect()] == [18 / 28, 6 / 28, 1.0, 0.0, 18 / 28, 18 / 28]
+
+
+def test_columns_with_points_in_their_names(spark):
+    df = spark.createDataFrame([("x", 1.0, 2.0), ("x", 3.0, 4.0)], "k string, a double, b double")
+    df = df.withColumnsRenamed({"k": "k.k", "a": "a.a", "b": "b.b"})
+    assert [r[3] for r in min_max(df, {"a.a": "c.c"}).collect()] == [0.0, 1.0]
+    assert box_plot(df, "a.a").first().median == 2.0
+    assert pairs(average_and_sum(df, "k.k", "a.a")) == [("x", 2.0, 4.0)]
+    assert pairs(letter_count(df, "k.k")) == [("x", 2)]
+    assert pairs(group_median(df, ["k.k"], "b.b")) == [("x", 2.0)]
+    assert pairs(group_median(df, ["k.k"], "b.b", exact=True)) == [("x", 2.0)]
+    assert correlation(df, "a.a", "b.b").first().correlation == pytest.approx(1.0)
 
 
 def test_min_max_edges(spark):
@@ -198,24 +231,22 @@ def test_min_max_with_ranges_of_another_table(spark):
     assert pairs(min_max(df, ["a"], ranges_from=wide)) == [(0.0,), (0.5,)]
 
 
-def test_min_max_plan_has_no_join_and_no_window(colours):
-    plan = min_max(colours, ["length"])._jdf.queryExecution().toString()
+def test_min_max_plan_has_no_join_and_no_window(trees):
+    plan = min_max(trees, ["height"])._jdf.queryExecution().toString()
     assert "Join" not in plan and "Window" not in plan
 
 
 # --- profiles ---------------------------------------------------------------------------------------
 
 
-def test_profile_of_stores(stores):
-    rows = {r.column_name: r for r in profile(stores).collect()}
-    assert [rows[c].present for c in stores.columns] == [9, 8, 8]
-    assert rows["Store"].mean is None and rows["Store"].stddev is None
-    assert (rows["Store"].min_text, rows["Store"].max_text) == ("Store 1", "Store 2")
-    assert (rows["WeekInMonth"].mean, rows["Revenue"].mean) == (7.375, 391.625)
-    assert rows["WeekInMonth"].stddev == pytest.approx(14.841423689890979)
-    assert rows["Revenue"].stddev == pytest.approx(62.741960213469355)
-    assert (rows["Revenue"].min_number, rows["Revenue"].max_number) == (312.0, 499.0)
-    assert (rows["Revenue"].data_type, rows["Revenue"].ordinal) == ("bigint", 2)
+def test_profile_of_readings(readings):
+    rows = {r.column_name: r for r in profile(readings).collect()}
+    assert [rows[c].present for c in readings.columns] == [9, 8, 8]
+    assert rows["sensor"].mean is None and rows["sensor"].stddev is None
+    assert (rows["sensor"].min_text, rows["sensor"].max_text) == ("north", "south")
+    assert (rows["day"].mean, rows["level"].mean) == (3.25, 154.5)
+    assert rows["day"].stddev == pytest.approx(statistics.stdev([1, 2, 3, 9, 1, 1, 4, 5]))
+    assert rows["level"].stddev == pytest.approx(statistics.stdev([20, 25, 21, 70, 70, 64, 900, 66]))
 
 
 def test_profile_agrees_with_describe_on_text_numbers(spark):
@@ -244,15 +275,32 @@ def test_correlation_uses_complete_rows(spark):
     assert found.correlation == pytest.approx(statistics.correlation([1, 2, 3], [2, 3.5, 7]))
 
 
-def test_reconcile_finds_every_difference(stores):
-    assert all(r.matches for r in reconcile(stores, stores).collect())
-    changed = stores.fillna(0, ["Revenue"])
-    flags = {r.column_name: r.matches for r in reconcile(stores, changed).collect()}
-    assert flags == {"Store": True, "WeekInMonth": True, "Revenue": False}
-    doubled = stores.union(stores)
-    assert not any(r.matches for r in reconcile(stores, doubled).collect())
-    missing = {r.column_name: r.matches for r in reconcile(stores, stores.drop("Store")).collect()}
-    assert missing["Store"] is False
+def test_reconcile_finds_every_difference(readings):
+    assert all(r.matches for r in reconcile(readings, readings.orderBy("level")).collect())
+    changed = readings.fillna(0, ["level"])
+    flags = {r.column_name: r.matches for r in reconcile(readings, changed).collect()}
+    assert flags == {"sensor": True, "day": True, "level": False}
+    doubled = readings.union(readings)
+    assert not any(r.matches for r in reconcile(readings, doubled).collect())
+    missing = {r.column_name: r.matches for r in reconcile(readings, readings.drop("sensor")).collect()}
+    assert missing["sensor"] is False
+
+
+def flags(a, b):
+    return [(r.same_values, r.same_rows, r.matches) for r in reconcile(a, b).orderBy("ordinal").collect()]
+
+
+def test_reconcile_finds_values_swapped_between_rows(spark):
+    source = spark.createDataFrame([(1, "x"), (2, "y"), (3, None), (3, None)], "k int, t string")
+    assert flags(source, source.repartition(3)) == [(True, True, True)] * 2
+    swapped = spark.createDataFrame([(2, "x"), (1, "y"), (3, None), (3, None)], source.schema)
+    assert flags(source, swapped) == [(True, False, False)] * 2
+    inside = spark.createDataFrame([(1, "x"), (1, "y"), (3, None), (4, None)], "k int, t string")
+    other = spark.createDataFrame([(1, "x"), (2, "y"), (2, None), (4, None)], "k int, t string")
+    assert flags(inside, other) == [(False, False, False), (True, False, True)]  # the difference is in k alone
+    nulls = spark.createDataFrame([(1, None), (None, 1)], "a int, b int")
+    assert flags(nulls, spark.createDataFrame([(1, 1), (None, None)], "a int, b int")) == [(True, False, False)] * 2
+    assert flags(source.limit(0), source.limit(0)) == [(True, True, True)] * 2
 
 
 # --- aggregates -------------------------------------------------------------------------------------

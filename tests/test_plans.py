@@ -72,23 +72,23 @@ def test_csv_types_are_inferred(spark, tmp_path):
     assert read_csv_inferred(spark, str(path)).dtypes == [("n", "int"), ("x", "double"), ("t", "string")]
 
 
-def test_writes_replace(spark, colours, tmp_path):
+def test_writes_replace(spark, trees, tmp_path):
     path = str(tmp_path / "p")
-    write_parquet(colours, path)
-    write_parquet(colours.limit(2), path)
+    write_parquet(trees, path)
+    write_parquet(trees.limit(2), path)
     assert read_parquet(spark, path).count() == 2
     path = str(tmp_path / "c")
-    write_csv(colours, path)
-    write_csv(colours, path)
-    back = spark.read.schema(colours.schema).csv(path)
-    assert sorted(pairs(back)) == sorted(pairs(colours))
+    write_csv(trees, path)
+    write_csv(trees, path)
+    back = spark.read.schema(trees.schema).csv(path)
+    assert sorted(pairs(back)) == sorted(pairs(trees))
 
 
-def test_working_storage_lies_in_the_checkpoint_folder(spark, colours):
+def test_working_storage_lies_in_the_checkpoint_folder(spark, trees):
     root = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(root)
-    stored = materialize(colours, "colours")
-    assert sorted(pairs(stored)) == sorted(pairs(colours))
+    stored = materialize(trees, "trees")
+    assert sorted(pairs(stored)) == sorted(pairs(trees))
     assert all(root in f for f in stored.inputFiles())
 
 
