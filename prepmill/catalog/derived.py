@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from prepmill.catalog.registry import table
-from prepmill.operators import spread
+from prepmill.operators import partitions_for, spread
 from prepmill.plans.loans import NUMBERS
 from prepmill.sources import materialize
 
@@ -49,7 +49,7 @@ FLIGHTS = {
 _MEASURES = ("l_extendedprice", "l_quantity", "l_discount * 1000", "l_tax * 1000 + l_quantity")
 LOANS = {
     "loan_status": "CASE WHEN l_returnflag = 'R' THEN 'Current' "
-    "WHEN l_quantity * (0.5 + l_discount * 10) > 30 THEN 'Charged Off' ELSE 'Fully Paid' END",
+    "WHEN l_linestatus = 'O' AND (l_discount > 0.05 OR l_linenumber > 4) THEN 'Charged Off' ELSE 'Fully Paid' END",
     "grade": "substr('ABCDEFG', l_linenumber, 1)",
     "home_ownership": "CASE WHEN l_linestatus = 'O' THEN 'RENT' ELSE 'MORTGAGE' END",
     "purpose": "CASE l_suppkey % 9 WHEN 0 THEN 'wedding' WHEN 1 THEN 'car' WHEN 2 THEN 'house' "
@@ -82,7 +82,8 @@ def derive(spark: SparkSession, folder: str, columns: dict[str, str]) -> DataFra
 
 def stored(spark: SparkSession, folder: str, columns: dict[str, str]) -> DataFrame:
     """The derived table written out, as the raw table of a job that reads it more than once."""
-    return materialize(_select(spread(table(spark, folder, "lineitem")), columns), "raw")
+    lines = table(spark, folder, "lineitem")
+    return materialize(_select(spread(lines, partitions_for(lines)), columns), "raw")
 
 
 def _select(lines: DataFrame, columns: dict[str, str]) -> DataFrame:

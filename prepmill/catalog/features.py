@@ -9,6 +9,8 @@ from prepmill.catalog.registry import query, table
 from prepmill.operators import (
     FEATURES,
     assemble,
+    dictionary,
+    index_by_dictionary,
     one_hot,
     string_index,
     vector_columns,
@@ -63,6 +65,36 @@ def feat_string_index_unseen(spark, folder):
     return fitted.transform(orders).withColumnRenamed(indexed("o_orderpriority"), "priority_index")
 
 
+@query("feat_dictionary", f"""
+    SELECT l_partkey AS value, count(*) AS frequency, rank AS index
+    FROM (SELECT concat('P', l_partkey % 5000) AS l_partkey FROM lineitem) JOIN (
+        {_ranks("(SELECT concat('P', l_partkey % 5000) AS l_partkey FROM lineitem)", "l_partkey")}
+    ) USING (l_partkey) GROUP BY l_partkey, rank
+""")
+def feat_dictionary(spark, folder):
+    """A dictionary table of a column with many distinct texts."""
+    return dictionary(_parts(spark, folder), "l_partkey")
+
+
+def _parts(spark, folder):
+    part = F.concat(F.lit("P"), F.col("l_partkey") % 5000)
+    return table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", part.alias("l_partkey"))
+
+
+@query("feat_dictionary_index", f"""
+    WITH parts AS (SELECT l_orderkey, l_linenumber, concat('P', l_partkey % 5000) AS l_partkey FROM lineitem),
+    early AS (SELECT * FROM parts WHERE l_linenumber < 3),
+    ranks AS ({_ranks("early", "l_partkey")})
+    SELECT l_orderkey, l_linenumber, parts.l_partkey,
+           CAST(coalesce(rank, (SELECT count(*) FROM ranks)) AS DOUBLE) AS l_partkey_index
+    FROM parts LEFT JOIN ranks ON parts.l_partkey = ranks.l_partkey
+""")
+def feat_dictionary_index(spark, folder):
+    """Indexes by a dictionary of some of the lines; texts that it lacks share one index."""
+    parts = _parts(spark, folder)
+    return index_by_dictionary(parts, "l_partkey", dictionary(parts.filter("l_linenumber < 3"), "l_partkey"))
+
+
 _SLOTS = 6  # five market segments and the slot for unseen text
 
 

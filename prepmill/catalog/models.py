@@ -17,14 +17,16 @@ from prepmill.operators import (
     label_texts,
     linear_regression,
     load_model,
+    partitions_for,
     perceptron,
     random_forest,
     save_model,
+    scaled,
     split_by_key,
     spread,
 )
 from prepmill.operators.features import indexed
-from prepmill.sources import scratch_path
+from prepmill.sources import materialize, scratch_path
 
 _NUMBERS = ["l_quantity", "l_discount", "l_tax"]
 _TEXTS = ["l_returnflag", "l_linestatus"]
@@ -50,13 +52,15 @@ def _priced(spark, folder):
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", *_TEXTS, *_NUMBERS, price.alias("price")
     )
-    return spread(lines)
+    return materialize(spread(lines, partitions_for(lines)), "priced")
 
 
-def _classify(spark, folder, build, labelled):
+def _classify(spark, folder, build, labelled, scale):
     """Fit on four fifths of the orders and score the rest; one row of counts and rates."""
     train, test = split_by_key(labelled(spark, folder), "l_orderkey", 80)
     features = feature_pipeline(_NUMBERS, encode=_TEXTS, label="price").fit(train)
+    if scale:
+        features = scaled(features, train)
     vectors = features.transform(train).select(FEATURES, indexed("price"))
     vectors.persist(StorageLevel.MEMORY_AND_DISK)
     model = build(vectors).fit(vectors)
@@ -72,7 +76,7 @@ def _ruled(spark, folder):
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", *_TEXTS, *_NUMBERS, F.when(rule, "high").otherwise("low").alias("price")
     )
-    return spread(lines)
+    return spread(lines, partitions_for(lines))
 
 
 _RULED = """
@@ -83,9 +87,9 @@ _RULED = """
 """
 
 
-def _learned(spark, folder, build, least):
+def _learned(spark, folder, build, least, scale=False):
     """Actual numbers of the held-out lines, and whether ``least`` percent of them are predicted right."""
-    rates = _classify(spark, folder, build, _ruled)
+    rates = _classify(spark, folder, build, _ruled, scale)
     right = F.col("true_positive") + F.col("true_negative")
     actual = F.col("actual_positive") + F.col("actual_negative")
     return rates.select(
@@ -107,7 +111,7 @@ def ml_random_forest(spark, folder):
 
 @query("ml_mlp", _RULED)
 def ml_mlp(spark, folder):
-    return _learned(spark, folder, lambda train: perceptron(indexed("price"), train), 95)
+    return _learned(spark, folder, lambda train: perceptron(indexed("price"), train), 95, scale=True)
 
 
 @query("ml_model_save_load", """

@@ -42,6 +42,21 @@ def split_random_covers(spark, folder):
     return both.groupBy("o_orderkey").agg(F.count("*").cast("int").alias("parts"))
 
 
+@query("split_random_repeated", """
+    SELECT l_returnflag, l_linestatus, count(*) AS rows, true AS as_weighted FROM lineitem GROUP BY l_returnflag, l_linestatus
+""")
+def split_random_repeated(spark, folder):
+    """A table of a few rows, each repeated many times: of every one a fifth goes to the test part, within four times
+    the deviation of as many draws."""
+    lines = table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus")
+    train, test = random_split(lines, [0.8, 0.2], seed=12)
+    parts = _labelled({"train": train, "test": test}).groupBy("l_returnflag", "l_linestatus")
+    share = F.count_if(F.col("part") == "test") / F.count("*")
+    return parts.agg(
+        F.count("*").alias("rows"), (F.abs(share - 0.2) <= 4 * F.sqrt(0.16 / F.count("*"))).alias("as_weighted")
+    )
+
+
 @query("split_by_key", """
     SELECT o_orderkey, CASE WHEN o_orderkey % 100 < 80 THEN 'train' ELSE 'test' END AS part
     FROM orders

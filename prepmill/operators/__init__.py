@@ -1,6 +1,7 @@
 """Table operators: each takes a DataFrame and returns one, built from native Spark expressions."""
 
 from prepmill.operators.aggregate import average_and_sum, letter_count
+from prepmill.operators.dictionary import dictionary, index_by_dictionary, ranked
 from prepmill.operators.evaluate import (
     accuracy,
     confusion,
@@ -24,9 +25,11 @@ from prepmill.operators.models import (
     label_texts,
     linear_regression,
     load_model,
+    partitions_for,
     perceptron,
     random_forest,
     save_model,
+    scaled,
     spread,
 )
 from prepmill.operators.nulls import (
@@ -59,10 +62,12 @@ __all__ = [
     "correlation",
     "decision_tree",
     "decode_prediction",
+    "dictionary",
     "exact_quantiles",
     "feature_pipeline",
     "group_median",
     "impute_group_median",
+    "index_by_dictionary",
     "label_texts",
     "letter_count",
     "linear_regression",
@@ -70,15 +75,18 @@ __all__ = [
     "min_max",
     "null_counts",
     "one_hot",
+    "partitions_for",
     "perceptron",
     "profile",
     "random_forest",
     "random_split",
+    "ranked",
     "reconcile",
     "regression_metrics",
     "residuals",
     "rows_with_null",
     "save_model",
+    "scaled",
     "split_by_key",
     "spread",
     "stored_random_split",

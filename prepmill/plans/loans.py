@@ -17,8 +17,10 @@ from prepmill.operators import (
     feature_pipeline,
     label_texts,
     min_max,
+    partitions_for,
     perceptron,
     random_forest,
+    scaled,
     spread,
     stored_random_split,
 )
@@ -84,6 +86,7 @@ FEATURE_NUMBERS = ["annual_inc", "installment", "loan_amnt", "total_pymnt"]
 FEATURE_TEXTS = ["grade", "home_ownership", "emp_length", "purpose", "verification_status"]
 
 
+
 def prepare_loans(loans: DataFrame, partitions: int | None = None) -> DataFrame:
     """Closed loans with every selected column present, cleaned, cast and scaled.
 
@@ -110,12 +113,17 @@ def compare_classifiers(
     weights: tuple[float, float] = (0.6, 0.4),
     seed: int = 13,  # fixed value, as are the weights
     invalid: str = "keep",
+    partitions: int | None = None,
+    scale: bool = True,
 ) -> DataFrame:
     """One row per classifier (tree, forest, perceptron) with its counts, rates and accuracy.
 
     Only the columns the models use are stored, next to a flag for rows without any null; rows
     with nulls elsewhere may train but are not scored. Features are fitted once and shared by the
     three models, which score the held-out rows side by side, in one scan and one aggregate.
+    Training runs on ``partitions`` partitions, by default as many as the stored size asks for. With
+    ``scale`` every feature is divided by its largest size in training, for the perceptron; trees
+    split alike either way.
     """
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in prepared.columns])
     used = prepared.select(
@@ -127,8 +135,11 @@ def compare_classifiers(
         FEATURE_NUMBERS, encode=FEATURE_TEXTS, label=LABEL, invalid=invalid
     )
     features = pipeline.fit(train)
+    if scale:
+        features = scaled(features, train)
     charged_off = float(label_texts(features, LABEL).index(CHARGED_OFF))
-    vectors = spread(features.transform(train).select(FEATURES, indexed(LABEL)))
+    trained = features.transform(train).select(FEATURES, indexed(LABEL))
+    vectors = spread(trained, partitions or partitions_for(train))
     vectors.persist(StorageLevel.MEMORY_AND_DISK)
     label = indexed(LABEL)
     models = {

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from oracle import connect
 
@@ -42,3 +47,16 @@ def test_column_types_are_those_of_the_sql(spark, database, name):
     expected = {row[0]: row[1] for row in described}
     found = {column: TYPES[kind] for column, kind in contract.queries()[name](spark, FOLDER).dtypes}
     assert found == expected
+
+
+@pytest.mark.parametrize("left", [None, "prepmill/llm", "prepmill/llm/__pycache__"])
+def test_the_rest_works_without_the_operators_for_training_data(tmp_path, left):
+    """Their folder may be gone, or be there without any source."""
+    root = Path(contract.__file__).parent
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    shutil.copytree(root / "prepmill", tmp_path / "prepmill", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    if left:
+        (tmp_path / left).mkdir(parents=True)
+    code = "import __spark_entry__ as c; print(len(c.queries()), len(c.oracle_sql()), any(n.startswith('op1') for n in c.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=False)
+    assert done.stdout.split() == [str(len(ENTRIES)), str(len([e for e in ENTRIES.values() if e.sql])), "False"], done.stderr

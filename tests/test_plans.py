@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from prepmill.operators import chain, decode_prediction, feature_pipeline, label_texts, load_model
+from prepmill.operators import chain, decode_prediction, feature_pipeline, group_median, label_texts, load_model
 from prepmill.operators.features import FEATURES, indexed, vector_width
 from prepmill.operators.models import decision_tree, perceptron, spread
 from prepmill.plans import (
@@ -25,12 +25,14 @@ from prepmill.plans.flights import score_delay
 from prepmill.plans.loans import NUMBERS, TEXTS
 from prepmill.sources import (
     JdbcTable,
+    jdbc,
     materialize,
     read_csv_inferred,
     read_csv_strict,
     read_parquet,
     read_table,
     scratch_path,
+    working_storage,
     write_csv,
     write_parquet,
     write_table,
@@ -84,6 +86,27 @@ def test_writes_replace(spark, trees, tmp_path):
     assert sorted(pairs(back)) == sorted(pairs(trees))
 
 
+def files_below(spark, folder):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return len(system.listStatus(path)) if system.exists(path) else 0
+
+
+def test_working_storage_goes_with_its_owner(spark, trees, loans):
+    with working_storage(spark) as folder:
+        rows = compare_classifiers(prepare_loans(loans)).collect()
+        with working_storage(spark) as inner:
+            assert inner != folder and group_median(trees, ["tree"], "height", exact=True).count() == 6
+            assert files_below(spark, inner) > 0
+        assert files_below(spark, inner) == 0
+        assert files_below(spark, folder) > 0 and len(rows) == 3
+    assert files_below(spark, folder) == 0
+    with pytest.raises(RuntimeError), working_storage(spark) as folder:
+        materialize(trees, "trees")
+        raise RuntimeError
+    assert files_below(spark, folder) == 0
+
+
 def test_working_storage_lies_in_the_checkpoint_folder(spark, trees):
     root = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(root)
@@ -132,6 +155,53 @@ def test_reads_follow_the_number_of_rows(spark, database):
     assert read_table(spark, database, "id").rdd.getNumPartitions() == 1
 
 
+def test_hot_ranges_of_keys_are_split(spark, database):
+    """Nine tenths of the keys lie in a hundredth of their range, some rows have no key, and one key has many rows."""
+    near = "CASE WHEN id % 10 < 9 THEN id % 1000 ELSE id * 10 + 90000 END"
+    keys = spark.range(10_000).selectExpr(f"CASE WHEN id % 100 = 3 THEN NULL WHEN id % 50 = 1 THEN 777 ELSE {near} END AS k", "id")
+    for kind in ("bigint", "double", "decimal(20,2)"):
+        df = keys.withColumn("k", F.col("k").cast(kind))
+        write_table(df, database)
+        parts = read_table(spark, database, "k", rows_per_task=500)
+        assert sorted(pairs(parts), key=repr) == sorted(pairs(df), key=repr)
+        sizes = [r.n for r in parts.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert len(sizes) > 15 and max(sizes) <= 1000
+    strides = read_table(spark, database, "k", 20, bounds=(0, 200_000))
+    assert max(r.n for r in strides.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()) > 8000
+
+
+def test_dates_make_equal_strides(spark, database):
+    df = spark.range(300).selectExpr("date_add(DATE'2020-01-01', CAST(id AS INT)) AS d", "id")
+    write_table(df, database)
+    parts = read_table(spark, database, "d", rows_per_task=100)
+    assert sorted(pairs(parts)) == sorted(pairs(df)) and parts.rdd.getNumPartitions() == 3
+
+
+def test_rows_of_a_repeated_task_are_written_once(spark, database):
+    """A task that failed after its rows were committed writes them again; equal rows of the table itself stay."""
+    df = spark.range(0, 400, 1, 4).selectExpr("id % 100 AS k", "concat('t', id % 7) AS t")
+    types = {"createTableColumnTypes": "t VARCHAR(8)"}
+    stored = materialize(df, "outgoing")
+    staging, fresh = (jdbc.replace(database, table=f"{database.table}_{x}") for x in ("rows", "new"))
+    jdbc._stage(stored, staging, types)
+    again = stored.filter((F.spark_partition_id() == 1) | (F.spark_partition_id() == 2))
+    jdbc._stage(again, staging, types, "append")
+    assert read_table(spark, staging, one_task=True).count() > 400
+    jdbc._save(stored.limit(0), fresh, types)
+    jdbc._publish(spark, df.columns, staging, fresh, database)
+    assert sorted(pairs(read_table(spark, database, one_task=True))) == sorted(pairs(df))
+    for gone in (staging, fresh):
+        with pytest.raises(Exception, match="(?i)does not exist"):
+            read_table(spark, gone, one_task=True)
+
+
+def test_a_failed_write_leaves_the_old_table(spark, database):
+    write_table(spark.range(5), database)
+    with pytest.raises(Exception, match="(?i)divi"):
+        write_table(spark.range(5).selectExpr("id", "1 / (id - 3) AS x"), database)
+    assert read_table(spark, database, one_task=True).count() == 5
+
+
 def test_a_key_without_values_splits_nothing(spark, database):
     write_table(spark.range(3).select("id", F.lit(None).cast("int").alias("k")), database)
     with pytest.raises(ValueError, match="null in every row"):
@@ -210,6 +280,8 @@ def test_ingest_and_train(spark, flights, database, tmp_path):
 
 def test_exploration(flights):
     found = explore(flights, "ArrDelay", "DepDelay", ["ArrDelay", "DepDelay"], ["UniqueCarrier"])
+    for table in (found.profile, found.null_counts):  # both read what one scan has measured
+        assert table.inputFiles() == found.profile.inputFiles() and not set(table.inputFiles()) & set(flights.inputFiles())
     assert found.base_table.count() == flights.filter("ArrDelay <> 'NA'").count()
     order = [r.ArrDelay for r in found.frequency.collect()]
     assert order == sorted(order, reverse=True) and order[0] == "NA"
@@ -294,7 +366,7 @@ def test_unseen_text_can_be_an_error(spark, letters):
 
 def test_labels_come_back_as_text(letters):
     features = feature_pipeline([], encode=["t"], label="y").fit(letters)
-    vectors = spread(features.transform(letters))
+    vectors = spread(features.transform(letters), 8)
     model = chain(features, decision_tree(indexed("y")).fit(vectors))
     scored = decode_prediction(model.transform(letters), label_texts(model, "y"))
     assert scored.filter("predicted_label <> y").count() == 0
