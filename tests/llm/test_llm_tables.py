@@ -172,10 +172,28 @@ def test_inserted_characters_do_not_hide_an_insult(spark):
     folder = "/root/testdata/sf0.1"
     model = toxicity.fit(queries.table(spark, folder, "documents"), queries.table(spark, folder, "labels"), F.lit(True))
     clean = b"Thnd the that onanly, inthe and of erly the was. "
-    shown = [clean, clean + b"moron ", clean + b"mo.ron and ", clean + b"m o r o n ", clean + b"mooron ", clean * 400 + b"moron", b""]
-    scores = model.scores(model.decisions(shown))
-    assert scores[0] < 0.5 and scores[6] < 0.5
-    assert (scores[1:6] > scores[0]).all() and scores[1] >= 0.5 and scores[5] >= 0.5
+    score = lambda text: float(model.scores(model.decisions([text]))[0])
+    assert score(clean) < 0.5 and score(b"") < 0.5 and score(clean * 400) < 0.5
+    forms = ["moron", "MORON!", "mo-ron", "m.o.r.o.n", "mo*ron", "(moron)", "m o r o n", "m-o-r-o-n", "mo ron", "moro n", "m oron", "morron", "mroon"]
+    for form in forms:
+        assert score(clean + form.encode() + b" and erly.") >= 0.5, form
+        assert score(clean * 400 + form.encode() + b" and erly.") >= 0.5, form
+    for form in ("m*ron", "m0ron"):  # a letter replaced: not recognised, as the docstring says
+        assert score(clean + form.encode() + b" and erly.") < 0.5, form
+
+
+def test_few_labels_teach(spark):
+    """A handful of toxic texts with one insult is enough, and rows that share an id count once."""
+    rng = np.random.default_rng(3)
+    words = ["stone", "river", "meadow", "cloud", "window", "garden", "lantern", "harbour", "winter", "pepper"]
+    texts = [" ".join(rng.choice(words, 12)) for _ in range(40)]
+    texts = [t + " scoundrel" if i % 8 == 0 else t for i, t in enumerate(texts)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0])] * 50 + [(1, texts[0])]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(40)], "doc_id long, toxic int")
+    model = toxicity.fit(documents, labels, F.lit(True))
+    new = [b"river stone scoundrel", b"river scoun drel stone", b"window garden river stone"]
+    assert (model.scores(model.decisions(new)) >= 0.5).tolist() == [True, True, False]
 
 
 def test_subsequence_weights_equal_the_kernel():
