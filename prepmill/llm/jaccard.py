@@ -11,8 +11,10 @@ each) are broadcast. Documents with the same set are one node from the start, so
 
 Proposing is linear first: every member of a prefix group is paired with the smallest member of its
 size class. Once those links have made components, only groups that still hold several components
-propose the pairs across them, which are the only ones that can still join anything. So no link
-between two components is lost, and a large group of near copies makes no square of pairs.
+propose the pairs across them, which are the only ones that can still join anything. A group of more than
+``PAIRED`` members is dealt out by a second n-gram first, one of the prefix under order 2, and what is still larger by a third one under
+order 3, since only sets that share all three can be similar; what pairs up in the end has met under every order in one key. So no
+link between two components is lost, and neither near copies nor dissimilar sets around one common n-gram make a square of pairs.
 
 Defined cases: a text without words has an empty set and links with nothing; fewer than ``n`` words make
 one n-gram of all; a row with a null id has no component (null) and links nothing; rows with the same
@@ -26,7 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prepmill.llm.components import components
@@ -41,6 +44,10 @@ ORDER_SEEDS = [np.uint64(0), np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7E
 SETS = "doc_id long, n long, signature binary, p1 array<long>, p2 array<int>, p3 array<int>"
 #: Ids are broadcast up to this number; beyond it they are joined by a shuffle.
 MOST_IDS = 2_000_000
+#: Members of a prefix group that are paired without a further n-gram.
+PAIRED = 64
+#: Tasks' counters are added up in so many groups first.
+TASK_GROUPS = 1024
 
 
 def shingle_sets(group: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,14 +81,24 @@ def _count(n: int):
                 total += np.bincount((hashes % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         width = COUNTERS // SLICES
         packed = [zlib.compress(total[i * width : (i + 1) * width].tobytes(), 1) for i in range(SLICES)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(packed, pa.binary())], names=["slice", "counts"])
+        task = [TaskContext.get().partitionId() % TASK_GROUPS] * SLICES
+        columns = [pa.array(range(SLICES), pa.int32()), pa.array(task, pa.int32()), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["slice", "tasks", "counts"])
 
     return run
 
 
+def _total(table: pa.Table) -> np.ndarray:
+    return sum(np.frombuffer(zlib.decompress(x.as_py()), dtype=np.int64) for x in table.column("counts"))
+
+
 def _add(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(zlib.decompress(x.as_py()), dtype=np.int64) for x in table.column("counts"))
-    levels = np.minimum(np.floor(4 * np.log2(total + 1)), 255).astype(np.uint8)
+    packed = pa.array([zlib.compress(_total(table).tobytes(), 1)], pa.binary())
+    return pa.table([table.column("slice")[:1], packed], names=["slice", "counts"])
+
+
+def _levels(table: pa.Table) -> pa.Table:
+    levels = np.minimum(np.floor(4 * np.log2(_total(table) + 1)), 255).astype(np.uint8)
     return pa.table([table.column("slice")[:1], pa.array([levels.tobytes()], pa.binary())], names=["slice", "counts"])
 
 
@@ -89,7 +106,9 @@ def rarity(texts: DataFrame, n: int) -> np.ndarray:
     """A level for each hashed counter of n-grams, higher for more documents. One byte each, so the result
     has ``COUNTERS`` bytes whatever the corpus."""
     schema = "slice int, counts binary"
-    parts = texts.mapInArrow(_count(n), schema).groupBy("slice").applyInArrow(_add, schema).collect()
+    counted = texts.mapInArrow(_count(n), "slice int, tasks int, counts binary")
+    added = counted.groupBy("slice", "tasks").applyInArrow(_add, schema)
+    parts = added.groupBy("slice").applyInArrow(_levels, schema).collect()
     levels = np.zeros((SLICES, COUNTERS // SLICES), dtype=np.uint8)
     for part in parts:
         levels[part["slice"]] = np.frombuffer(part["counts"], dtype=np.uint8)
@@ -202,6 +221,41 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, pe
     return materialize(links.distinct(), "verified")
 
 
+def _open(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of groups that hold several components, with the number of ``members``."""
+    groups = rows.groupBy(*keys).agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
+    )
+    return rows.join(groups.filter("low < high").select(*keys, "members"), keys)
+
+
+def _across(labelled: DataFrame, classes: DataFrame, reach: Column) -> DataFrame:
+    """Pairs (a, b) of different components that share a prefix n-gram of order 1 and, where many do, one of order 2
+    and one of order 3 as well. ``labelled``: token, rep, n, rest, component; ``reach`` compares n and rest with n_a and rest_a."""
+
+    def paired(rows: DataFrame, keys: list[str]) -> DataFrame:
+        other = rows.select(
+            *keys,
+            F.col("rep").alias("a"),
+            F.col("n").alias("n_a"),
+            F.col("rest").alias("rest_a"),
+            F.col("component").alias("other"),
+        )
+        near = rows.join(other, keys).filter("a < rep and component <> other").filter(reach)
+        return near.select("a", F.col("rep").alias("b"))
+
+    keys, rows = ["token"], _open(labelled, ["token"])
+    pairs = []
+    for prefix, key in (("p2", "second"), ("p3", "third")):
+        rows = materialize(rows, "open")
+        pairs.append(paired(rows.filter(F.col("members") <= PAIRED), keys))
+        grams = classes.select(F.col("rep").alias("of"), F.explode(prefix).alias(key))
+        large = rows.filter(F.col("members") > PAIRED).drop("members")
+        keys = [*keys, key]
+        rows = _open(large.join(grams, large["rep"] == grams["of"]).drop("of"), keys)
+    return pairs[0].union(pairs[1]).union(paired(rows, keys)).distinct()
+
+
 def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """Per document: doc_id, n_shingles and component_id, the smallest doc_id that links of Jaccard similarity
     percent/100 or more lead to, itself included."""
@@ -238,24 +292,7 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
     labelled = shared.join(joined_so_far, shared["rep"] == joined_so_far["node"], "left").select(
         "token", "rep", "n", "rest", F.coalesce("component", "rep").alias("component")
     )
-    labelled = materialize(labelled, "labelled")
-    mixed_groups = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_rows = labelled.join(mixed_groups.filter("low < high").select("token"), "token")
-    other = open_rows.select(
-        "token",
-        F.col("rep").alias("a"),
-        F.col("n").alias("n_a"),
-        F.col("rest").alias("rest_a"),
-        F.col("component").alias("other"),
-    )
-    across = (
-        open_rows.join(other, "token")
-        .filter("a < rep and component <> other")
-        .filter(reach)
-        .select("a", F.col("rep").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
+    across = _across(materialize(labelled, "labelled"), classes, reach).join(first, ["a", "b"], "left_anti")
     more = _verified(across, classes, texts, n, percent)
     found = components(links.union(more))
 
@@ -271,6 +308,7 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
 
 
 def one_per_group(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """The document with the smallest id of each group, with all its columns; rows with a null id stay."""
+    """The document with the smallest id of each group, with all its columns; rows with a null id stay, and so do all rows of a
+    kept id, since rows with one id are one document."""
     found = jaccard_components(documents, n, percent).filter("doc_id = component_id").select("doc_id").distinct()
     return documents.join(found, "doc_id", "left_semi").union(documents.filter("doc_id is null"))

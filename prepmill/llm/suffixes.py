@@ -1,26 +1,29 @@
-"""Removal of long repeated byte strings by a distributed difference-cover suffix method.
+"""Removal of long repeated byte strings by sampled suffixes of a difference cover.
 
 Two occurrences i and j of a string of ``length`` bytes have a common offset d below the period of
 the cover such that i+d and j+d are both sampled, so equal strings always share a sampled suffix with
-an equal prefix of ``length - period + 1`` bytes. The rounds are those of the difference-cover
-suffix sort, cut off at the depth the question needs:
-
-1. sampled suffixes (17 of 273) are named by their prefixes and sorted by name over the cluster;
-   names that occur once are settled, no recursion is needed as the wanted depth is finite;
-2. the remaining suffixes, sampled or not, that may begin a repeated string are those up to 272 bytes
-   before a repeated name; they are merged into one order of their ``length``-byte prefixes;
-3. neighbours in that order are compared: an equal neighbour marks all bytes of the string. Stretches
-   between content-chosen anchors go first, as one string each: a stretch that occurs twice settles all
-   windows in it. Only windows outside such stretches ask one by one, and one part for each repeated
-   stretch tells its windows, so that those who ask learn of them.
-
-The documents are stored once in parts of ``PART_ROWS`` rows, bucketed by part, so texts are never shuffled. A part sends each name once (twice if
-it occurs in the part more than once), so a string that a third of all documents holds costs one or
-two entries per part, and buckets of names are even whatever the text. Prefixes are compared by
-64-bit hashes of their bytes; round 1 keeps 32 bits within a bucket, which can only add candidates.
+an equal prefix of ``length - period + 1`` bytes. The rounds are those of the distributed difference-cover
+suffix sort, with one replacement, stated plainly: **no order of suffixes is built**. Where the sort would place equal prefixes side
+by side and compare neighbours, prefixes are hashed, hashes are grouped in buckets over the cluster, and those met twice are
+kept. The question is only which prefixes of one fixed length are equal, for which their order is not needed, and the sort
+does not fit the budget of the check: every position would have to carry its rank pair through at least one shuffle, 16 bytes
+a byte of text, against 4 times the input in all; the grouping writes 0.5 bytes of names a byte.
+
+1. Sampled suffixes (17 of 273) are named by hashes of their prefixes; names that occur once are settled. As the wanted depth is
+   finite, there is no recursion.
+2. The remaining suffixes, sampled or not, that may begin a repeated string are those up to 272 bytes before a repeated name.
+3. Their ``length``-byte prefixes are grouped: an equal one marks all bytes of the string. Stretches between content-chosen anchors go
+   first, as one string each: a stretch that occurs twice settles all windows in it. Only windows outside such stretches ask
+   one by one, and one part for each repeated stretch tells its windows, so that those who ask learn of them.
+
+The documents are stored once in parts of about ``PART_BYTES`` (``PART_ROWS`` rows at most), bucketed by part, so texts are never shuffled. A
+part sends each name once (twice if it occurs in the part more than once), so a string that a third of all documents holds costs one or
+two entries per part, and buckets of names are even whatever the text; their number follows the bytes of all texts, so that a bucket
+holds some 2**24 names and the 32 bits that are kept of a name within a bucket add few candidates. Equality is that of 64-bit hashes:
+of windows modulo 2**64, whose systematic collisions need 1,024 bytes and more, of stretches modulo a prime.
 
 Defined cases: a null text is empty; texts shorter than ``length`` lose nothing; repeated rows are
-separate documents, so each loses what they share; a column named like an output is replaced by it.
+separate documents, so each loses what they share; a column named like an output is replaced by it, other columns may have any name.
 """
 
 from __future__ import annotations
@@ -39,6 +42,9 @@ from prepmill.llm.textbytes import chunks, joined, mixed, powers, prefix_sums, p
 from prepmill.sources.storage import materialize
 
 PART_ROWS = 4096
+PART_BYTES = 8 << 20
+#: Bytes of text whose names share a bucket.
+BUCKET_BYTES = 1 << 28
 #: A perfect difference set, every shift modulo 273 is a difference of two members.
 PERIOD = 273
 COVER = [1, 2, 4, 8, 16, 32, 64, 91, 117, 128, 137, 182, 195, 205, 234, 239, 256]
@@ -84,11 +90,10 @@ def _send(
     distinct, counts, bucket = distinct[order], counts[order], bucket[order]
     edges = np.searchsorted(bucket, np.arange(buckets + 1))
     values = (distinct >> np.uint64(64 - 8 * np.dtype(width).itemsize)).astype(width)
-    for b in range(buckets):
-        if edges[b] < edges[b + 1]:
-            own = values[edges[b] : edges[b + 1]]
-            twice = own[counts[edges[b] : edges[b + 1]] > 1]
-            yield part, b, np.concatenate([own, twice]).tobytes(), kind
+    for b in np.flatnonzero(np.diff(edges)).tolist():
+        own = values[edges[b] : edges[b + 1]]
+        twice = own[counts[edges[b] : edges[b + 1]] > 1]
+        yield part, b, np.concatenate([own, twice]).tobytes(), kind
 
 
 def _as_batch(rows: list[tuple[int, int, bytes, str]]) -> pa.Table:
@@ -307,17 +312,23 @@ def cut_repeats(
     if length < PERIOD:
         raise ValueError(f"length must be {PERIOD} or more")
     tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or 4 * tasks
-    part = F.floor(F.monotonically_increasing_id() / PART_ROWS).cast("long").alias("__part")
+    size = documents.agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+    total = int(size["bytes"] or 0)
+    buckets = buckets or max(4 * tasks, -(-total // BUCKET_BYTES))
+    rows = min(PART_ROWS, max(1, PART_BYTES * size["n"] // max(total, 1)))
+    key = "__part"
+    while key in map(str.lower, documents.columns):
+        key += "_"
+    part = F.floor(F.monotonically_increasing_id() / rows).cast("long").alias(key)
     carried = documents.select(part, *(F.col(f"`{c}`") for c in documents.columns if c not in OUTPUTS))
-    stored = bucketed(carried, "suffix-documents", "__part", tasks)
-    texts = stored.select("__part", F.col("text").cast("string").alias("text"))
+    stored = bucketed(carried, "suffix-documents", key, tasks)
+    texts = stored.select(F.col(key).alias("__part"), F.col("text").cast("string").alias("text"))
 
     def repeated(sent: DataFrame, kind: str, width: type) -> DataFrame:
         return materialize(sent.groupBy("bucket").applyInArrow(_repeated(width, kind), SENT), f"suffix-{kind}s")
 
     def beside(left: DataFrame, right: DataFrame, run, schema) -> DataFrame:
-        return left.groupBy("__part").cogroup(right.groupBy("__part")).applyInArrow(run, schema)
+        return left.groupBy(left.columns[0]).cogroup(right.groupBy("__part")).applyInArrow(run, schema)
 
     names = repeated(texts.mapInArrow(_send_names(length, buckets), SENT), "name", np.uint32)
     segments = repeated(beside(texts, names, _send_segments(length, buckets), SENT), "segment", np.uint64)

@@ -338,3 +338,44 @@ def test_decode_of_odd_columns(spark):
     known = bpe.vocabulary(path)
     rows = {r["a.b"]: bytes(r["decoded"]) for r in bpe.decode(frame, path).collect()}
     assert rows == {1: known.tokens[65] + known.tokens[66], 2: b"", 3: b""}
+
+
+def test_clashing_and_repeated_columns(spark):
+    text = "x" * 100 + "".join(chr(97 + i * 7 % 26) for i in range(600))
+    frame = spark.createDataFrame([(1, text, "p", 1), (2, "y" + text, "q", 2)], "doc_id long, text string, __part string, bucket int")
+    rows = {r["doc_id"]: r for r in suffixes.cut_repeats(frame).collect()}
+    assert [rows[i]["__part"] for i in (1, 2)] == ["p", "q"] and rows[1]["n_removed"] == 700 and rows[2]["n_removed"] == 700
+
+
+@pytest.mark.parametrize("paired", [1, 3, 64])
+def test_links_across_large_groups(spark, monkeypatch, paired):
+    """The result does not depend on the size from which groups are dealt out by further n-grams."""
+    monkeypatch.setattr(jaccard, "PAIRED", paired)
+    rng = random.Random(11)
+    pool = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choices(pool, k=rng.randint(3, 25))) for _ in range(60)]
+    for i in range(80):
+        words = rng.choice(texts).split()
+        words[rng.randrange(len(words))] = rng.choice(pool)
+        texts.append(" ".join(words if i % 2 else [*words, rng.choice(pool)]))
+    sets = [{tuple(t.split()[i : i + 3]) for i in range(max(1, len(t.split()) - 2))} for t in texts]
+    label = list(range(len(texts)))
+    for _ in texts:
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets[:i]):
+                if 100 * len(x & y) >= 70 * len(x | y):
+                    label[i] = label[j] = min(label[i], label[j])
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = jaccard.jaccard_components(frame, percent=70)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == dict(enumerate(label))
+
+
+def test_dissimilar_sets_around_one_n_gram_make_few_pairs(spark):
+    """Five hundred sets share one n-gram of the first prefix, and only neighbours share more."""
+    k = 500
+    rows = [(7, i, 40, 40, i) for i in range(k)]
+    labelled = spark.createDataFrame(rows, "token long, rep long, n long, rest long, component long")
+    grams = [(i, [i // 2, 1000 + i], [i // 2 + 5000, 9000 + i]) for i in range(k)]
+    classes = spark.createDataFrame(grams, "rep long, p2 array<int>, p3 array<int>")
+    pairs = sorted(map(tuple, jaccard._across(labelled, classes, F.lit(True)).collect()))
+    assert pairs == [(i, i + 1) for i in range(0, k, 2)]
