@@ -44,8 +44,8 @@ ORDER_SEEDS = [np.uint64(0), np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7E
 SETS = "doc_id long, n long, signature binary, p1 array<long>, p2 array<int>, p3 array<int>"
 #: Ids are broadcast up to this number; beyond it they are joined by a shuffle.
 MOST_IDS = 2_000_000
-#: Members of a prefix group that are paired without a further n-gram.
-PAIRED = 64
+#: Members of a prefix group that are paired without a further n-gram. Dealing a member out costs a row for each n-gram of a prefix.
+PAIRED = 4096
 #: Tasks' counters are added up in so many groups first.
 TASK_GROUPS = 1024
 
@@ -249,10 +249,11 @@ def _across(labelled: DataFrame, classes: DataFrame, reach: Column) -> DataFrame
     for prefix, key in (("p2", "second"), ("p3", "third")):
         rows = materialize(rows, "open")
         pairs.append(paired(rows.filter(F.col("members") <= PAIRED), keys))
-        grams = classes.select(F.col("rep").alias("of"), F.explode(prefix).alias(key))
         large = rows.filter(F.col("members") > PAIRED).drop("members")
+        grams = classes.select(F.col("rep").alias("of"), F.col(prefix).alias("grams"))
+        held = large.join(grams, large["rep"] == grams["of"]).select(*large.columns, F.explode("grams").alias(key))
         keys = [*keys, key]
-        rows = _open(large.join(grams, large["rep"] == grams["of"]).drop("of"), keys)
+        rows = _open(materialize(held, "held"), keys)
     return pairs[0].union(pairs[1]).union(paired(rows, keys)).distinct()
 
 

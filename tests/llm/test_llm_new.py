@@ -347,7 +347,7 @@ def test_clashing_and_repeated_columns(spark):
     assert [rows[i]["__part"] for i in (1, 2)] == ["p", "q"] and rows[1]["n_removed"] == 700 and rows[2]["n_removed"] == 700
 
 
-@pytest.mark.parametrize("paired", [1, 3, 64])
+@pytest.mark.parametrize("paired", [1, 3, 4096])
 def test_links_across_large_groups(spark, monkeypatch, paired):
     """The result does not depend on the size from which groups are dealt out by further n-grams."""
     monkeypatch.setattr(jaccard, "PAIRED", paired)
@@ -370,12 +370,13 @@ def test_links_across_large_groups(spark, monkeypatch, paired):
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == dict(enumerate(label))
 
 
-def test_dissimilar_sets_around_one_n_gram_make_few_pairs(spark):
+def test_dissimilar_sets_around_one_n_gram_make_few_pairs(spark, monkeypatch):
     """Five hundred sets share one n-gram of the first prefix, and only neighbours share more."""
     k = 500
     rows = [(7, i, 40, 40, i) for i in range(k)]
     labelled = spark.createDataFrame(rows, "token long, rep long, n long, rest long, component long")
     grams = [(i, [i // 2, 1000 + i], [i // 2 + 5000, 9000 + i]) for i in range(k)]
     classes = spark.createDataFrame(grams, "rep long, p2 array<int>, p3 array<int>")
+    monkeypatch.setattr(jaccard, "PAIRED", 64)
     pairs = sorted(map(tuple, jaccard._across(labelled, classes, F.lit(True)).collect()))
     assert pairs == [(i, i + 1) for i in range(0, k, 2)]
