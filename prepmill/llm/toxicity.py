@@ -20,7 +20,8 @@ least text), ``max_candidates`` words as candidates for witnesses (the commonest
 texts (by hash), of which ``max_shown`` are examples besides the hard ones, and words of ``MOST_BYTES`` at most. Labels of rows that
 ``trainable`` excludes are never read.
 
-Not recognised: an insult with a letter replaced (by a mark, a digit or another letter) in the middle of a short word, one made
+Not always recognised: a short insult with a letter doubled or two changed round, which scores far above clean words but may stay
+below one half. Not recognised: an insult with a letter replaced (by a mark, a digit or another letter) in the middle of a short word, one made
 of three or more pieces of several letters, and one made of words that are each common in clean texts.
 
 Defined cases: a null text is empty; a text without any word gets the score of a text with no evidence; null
