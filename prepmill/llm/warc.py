@@ -3,8 +3,9 @@
 Each task writes its pages as one archive of gzip members, one record each, under a name of its own attempt, and
 returns an index row per record: archive, offset, length, URL, digest. Only rows of attempts that Spark
 commits reach the stored index, so a repeated task leaves at most an archive that nothing refers to.
-Reading begins with the index: the selected records are dealt out by archive and offset, neighbours with small
-gaps are fetched as one range of at most ``MAX_RANGE`` bytes, and each member is unpacked and parsed from it.
+Reading begins with the index: every archive is ruled into stretches of ``MAX_RANGE`` bytes, the selected records are dealt
+out by stretch to tasks of about ``TASK_BYTES`` archive bytes (fewer where cores would idle), neighbours with small gaps are
+fetched as one range of at most ``MAX_RANGE`` bytes, and each member is unpacked and parsed from it.
 
 Of pages with equal payloads of at least ``least`` bytes, that with the largest id is a response record, the others
 are revisit records that name it. Archives go to the folder in ``spark.checkpoint.dir``, reached through pyarrow's file
@@ -30,6 +31,7 @@ from prepmill.sources.storage import materialize, scratch_path
 
 MAX_GAP = 1 << 16
 MAX_RANGE = 1 << 23
+TASK_BYTES = 1 << 26
 INDEX = (
     "page_id long, url string, digest string, payload_bytes long, record_type string, refers_to long, "
     "archive string, offset long, length long"
@@ -129,6 +131,20 @@ def write_archives(pages: DataFrame, least: int = 1000) -> DataFrame:
     return index.withColumn("archive", F.concat(F.lit(f"{folder}/"), "archive"))
 
 
+def reading_tasks(selected: int, cores: int) -> int:
+    """The number of tasks that read ``selected`` bytes of archives."""
+    return max(1, -(-selected // TASK_BYTES), min(cores, -(-selected // MAX_RANGE)))
+
+
+def dealt(index: DataFrame) -> DataFrame:
+    """(archive, offset, length) of an index, partitioned by archive bytes and sorted by place."""
+    chosen = index.select("archive", "offset", "length")
+    selected = chosen.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
+    tasks = reading_tasks(selected, index.sparkSession.sparkContext.defaultParallelism)
+    stretch = F.floor(F.col("offset") / MAX_RANGE)
+    return chosen.repartition(tasks, "archive", stretch).sortWithinPartitions("archive", "offset")
+
+
 def read_records(index: DataFrame) -> DataFrame:
     """The records that rows of an index select, parsed from their archives."""
 
@@ -154,9 +170,7 @@ def read_records(index: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(found, schema=schema)
                 rows = rows[n:]
 
-    chosen = index.select("archive", "offset", "length")
-    dealt = chosen.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
-    return dealt.mapInArrow(run, READ)
+    return dealt(index).mapInArrow(run, READ)
 
 
 def report(records: DataFrame) -> DataFrame:

@@ -144,6 +144,21 @@ def test_archives_return_every_page(spark):
     assert warc.read_records(warc.write_archives(frame.limit(0))).count() == 0
 
 
+def test_reading_tasks_follow_archive_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "MAX_RANGE", 1 << 12)
+    monkeypatch.setattr(warc, "TASK_BYTES", 1 << 14)
+    rng = random.Random(6)
+    rows = [(i, "u", "".join(chr(rng.randint(33, 126)) for _ in range(rng.choice([0, 50, 900, 6000])))) for i in range(400)]
+    index = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))
+    assert index.select("archive").distinct().count() == 1
+    total, longest = index.agg(F.sum("length"), F.max("length")).first()
+    tasks = [sum(r["length"] for r in part) for part in warc.dealt(index).rdd.glom().collect()]
+    assert len(tasks) == warc.reading_tasks(total, spark.sparkContext.defaultParallelism) >= total / warc.TASK_BYTES
+    assert max(tasks) <= total / len(tasks) * 4 + longest
+    assert {r["page_id"]: bytes(r["payload"]).decode() for r in warc.read_records(index).collect()} == {i: t for i, _, t in rows}
+    assert [warc.reading_tasks(n, 8) for n in (0, 1, 3 * 2**12, 2**14 * 9)] == [1, 1, 3, 9]
+
+
 # --- classifiers -----------------------------------------------------------------------------------------
 
 
