@@ -5,8 +5,9 @@ Words are runs of digits, letters a-z (A-Z lower-cased) and characters beyond AS
 are broadcast, a task scans the word windows of its texts against them, and every hash hit is
 verified word for word.
 
-The broadcast holds ``max_windows`` windows at most; more are dealt out by hash into blocks of about
-that many, and each block scans the documents in its own pass, with the same result.
+The broadcast holds about ``max_windows`` windows at most; more are stored in the order of their hashes and taken in
+stretches of about that many. Each stretch scans the documents in a pass of its own, whose result is stored before the
+next begins and whose broadcast is then released, with the same result.
 
 Defined cases: null text has no words; an item without words has no window; null item ids count as no
 item but their windows still hit; repeated rows are each judged; other columns are ignored.
@@ -14,6 +15,7 @@ item but their windows still hit; repeated rows are each judged; other columns a
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterator
 
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prepmill.llm.textbytes import LOWER, chunks, joined, row_hashes, span_hashes, word_spans
+from prepmill.sources.storage import materialize
 
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 IS_WORD = np.zeros(256, dtype=bool)
@@ -105,6 +108,7 @@ def _scan_group(known: WindowSet, maybe: np.ndarray, rows: dict, first: int, gro
         rows["n_words"][first + i] = n
     words = span_hashes(data, starts, ends)
     hits: dict[int, list[tuple[int, int]]] = {}
+    met: dict[int, set[int]] = {}
     for length in known.lengths:
         rolled = row_hashes(words, length)
         for at in np.flatnonzero(maybe[rolled >> np.uint64(64 - FILTER_BITS)]).tolist():
@@ -118,8 +122,9 @@ def _scan_group(known: WindowSet, maybe: np.ndarray, rows: dict, first: int, gro
             for i in same:
                 if known.windows[i] == own:
                     hits.setdefault(text, []).append((at, at + length))
-                    rows["items"][first + text] = sorted({*(rows["items"][first + text] or []), *known.items[i]})
+                    met.setdefault(text, set()).add(i)
     for text, found in hits.items():
+        rows["items"][first + text] = sorted({*rows["items"][first + text], *(x for i in met[text] for x in known.items[i])})
         base, zero = int(bounds[text]), int(text_starts[text])
         old = [(s["first"], s["last"] + 1) for s in rows["spans"][first + text] or []]
         merged = _merged(old + [(a - base, b - base) for a, b in found])
@@ -156,7 +161,8 @@ def scan_documents(
     of words (``n_words``), the runs of hit words (``spans``: word numbers and UTF-8 byte offsets) and the ids of the
     items with occurring windows (``items``, sorted as texts). Columns so named are replaced."""
     spark = documents.sparkSession
-    windows = benchmark_windows(benchmark, n)
+    marked = benchmark_windows(benchmark, n).withColumn("mark", F.xxhash64("window"))
+    windows = materialize(marked.repartitionByRange("mark").sortWithinPartitions("mark"), "windows")
     blocks = max(1, math.ceil(windows.count() / max_windows))
     kept = [c for c in carried or ["doc_id", "text"] if c not in OUTPUTS]
     scanned = documents.select(
@@ -165,9 +171,14 @@ def scan_documents(
         F.expr(f"cast(array() as {SPANS})").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("items"),
     )
-    for block in range(blocks):
-        rows = windows.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block).collect()
-        scanned = scanned.mapInArrow(_scanner(spark.sparkContext.broadcast(WindowSet(rows))), scanned.schema)
+    cuts = [2**64 * block // blocks - 2**63 for block in range(blocks + 1)]
+    for block, (low, high) in enumerate(itertools.pairwise(cuts)):
+        rows = windows.filter(F.col("mark").between(low, high - 1)).drop("mark").collect()
+        known = spark.sparkContext.broadcast(WindowSet(rows))
+        scanned = scanned.mapInArrow(_scanner(known), scanned.schema)
+        if block + 1 < blocks:
+            scanned = materialize(scanned, "scanned")
+            known.destroy()
     return scanned
 
 
