@@ -1,17 +1,23 @@
 """Exact top-k by inner product as a Voronoi join.
 
-Pivots are drawn from the data, every vector belongs to the cell of its nearest pivot, and each cell is
-summarised by its size and radius. A query is first solved in its own cell, which gives it a floor: the
-k-th best score so far. By Cauchy-Schwarz no member of a cell scores above ``q.pivot + |q| * radius``, so
-the query then goes only to cells whose bound reaches its floor, and is solved there. Cells are dealt
-out in blocks of about ``BLOCK`` vectors, so that a vector which a third of all rows hold fills many blocks
-and not one task, and queries in shares of about ``SHARE``; each block returns k rows per query.
+Pivots are drawn from the data, about one per ``BLOCK`` rows between ``FEWEST`` and ``MOST`` (so that what is broadcast is
+bounded), and every vector belongs to the cell of its nearest pivot. Cells are dealt out in blocks of about ``BLOCK``
+vectors, so that a vector which a third of all rows hold fills many blocks and not one task; the queries of a
+cell are dealt out in groups of about ``SHARE``.
+
+A group is first solved in its own cell, which gives each of its queries a floor: the k-th best score so far. Groups and cells
+are then summarised: number of members, largest distance from the pivot, and for groups the smallest floor. With
+``q = p + a`` and ``v = c + b`` around their pivots, ``q.v <= p.c + |p||b| + |a||c| + |a||b|``, so a cell whose summary stays below
+the floor of a group is of no use to any of its queries. For the pairs that remain each query is held against the cell alone
+(``q.c + |q||b|``). A cell is copied to a group only if one of its queries still needs it, and solved there; each block
+returns k rows per query.
 
 Scores are whole numbers: every component x counts as floor(256 * x).
 
 Defined cases: a null vector, one with a null or non-finite component or one with a null id takes no part;
 vectors of different lengths do not meet; rows with a query's id are its own; equal scores go to the
-smaller id; repeated candidates are listed as often as they occur; other columns are ignored.
+smaller id; repeated candidates are listed as often as they occur; different vectors under one id are all asked and their
+hits ranked together; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +34,7 @@ from prepmill.sources.storage import materialize
 
 BLOCK = 4096
 SHARE = 2048
+FEWEST, MOST = 64, 4096
 HITS = "query_id long, vec_id long, score long"
 SAFE = float(2**53)
 
@@ -87,24 +94,52 @@ def _assign(broadcast):
     return run
 
 
-def _route(broadcast, radii: dict[int, float]):
-    """(query with its floor) to every cell but its own whose bound reaches the floor."""
+def _raised(bound: np.ndarray) -> np.ndarray:
+    """A bound with room for rounding."""
+    return bound + 1 + np.abs(bound) * 1e-9
+
+
+def _reached(broadcast, radii: dict[int, float]):
+    """(home, part, cell) of every cell but its own that the bound of a group of queries reaches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots: Pivots = broadcast.value
         for batch in batches:
-            floors = batch.column(3).to_numpy(zero_copy_only=False)
-            own = np.asarray(batch.column(2))
-            for rows, points in _by_length(batch.column(1), 1024):
-                numbers, centres = pivots.of(points.shape[1])
+            home, part, length, apart, floor = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            for size in np.unique(length):
+                rows = np.flatnonzero(length == size)
+                numbers, centres = pivots.of(int(size))
+                place = {int(c): i for i, c in enumerate(numbers)}
+                own = centres[[place[int(c)] for c in home[rows]]]
                 reach = np.array([radii.get(int(c), -np.inf) for c in numbers])
-                bound = points @ centres.T + np.sqrt((points**2).sum(1))[:, None] * reach
-                bound += 1 + np.abs(bound) * 1e-9
-                at, to = np.nonzero(~(bound < floors[rows][:, None]) & (own[rows][:, None] != numbers) & (reach > -np.inf))
-                picked = batch.take(pa.array(rows[at]))
-                yield pa.RecordBatch.from_arrays(
-                    [picked.column(0), picked.column(1), pa.array(numbers[to])], names=["query_id", "query", "cell"]
-                )
+                held = np.flatnonzero(reach > -np.inf)
+                far, around = centres[held], reach[held]
+                bound = own @ far.T + np.sqrt((own**2).sum(1))[:, None] * around
+                bound += apart[rows][:, None] * (np.sqrt((far**2).sum(1)) + around)
+                useful = ~(_raised(bound) < floor[rows][:, None]) & (home[rows][:, None] != numbers[held])
+                at, to = np.nonzero(useful)
+                columns = [home[rows[at]], part[rows[at]], numbers[held[to]]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["home", "part", "cell"])
+
+    return run
+
+
+def _needed(broadcast, radii: dict[int, float]):
+    """The rows (query, its floor, a cell) whose cell the query's own bound reaches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots: Pivots = broadcast.value
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            floors, cells = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("floor", "cell"))
+            for rows, points in _by_length(batch.column("query")):
+                numbers, centres = pivots.of(points.shape[1])
+                place = {int(c): i for i, c in enumerate(numbers)}
+                centre = centres[[place[int(c)] for c in cells[rows]]]
+                reach = np.array([radii[int(c)] for c in cells[rows]])
+                bound = (points * centre).sum(1) + np.sqrt((points**2).sum(1)) * reach
+                keep[rows] = ~(_raised(bound) < floors[rows])
+            yield batch.filter(pa.array(keep)).drop_columns(["floor"])
 
     return run
 
@@ -150,50 +185,70 @@ def top_k(
     vectors: DataFrame,
     is_query: Column,
     k: int = 5,
-    pivots: int = 64,
+    pivots: int | None = None,
     id_column: str = "vec_id",
     vector_column: str = "embedding",
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other rows of each row for which ``is_query`` (over the
-    column ``vec_id``) holds."""
+    column ``vec_id``) holds. ``pivots`` follows the number of rows unless given."""
     spark = vectors.sparkSession
     usable = quantised(vectors, id_column, vector_column)
+    if pivots is None:
+        pivots = min(MOST, max(FEWEST, usable.count() // BLOCK))
     chosen = usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
     centres = spark.sparkContext.broadcast(Pivots(list(dict.fromkeys(tuple(r["vector"]) for r in chosen))))
     celled = usable.mapInArrow(_assign(centres), "vec_id long, vector array<long>, cell long, apart double")
     celled = materialize(celled, "cells")
 
-    summary = celled.groupBy("cell").agg(F.count("*").alias("size"), F.max("apart").alias("radius")).collect()
-    radii = {row["cell"]: row["radius"] * (1 + 1e-9) + 1e-6 for row in summary}
-    blocks = {row["cell"]: -(-row["size"] // BLOCK) for row in summary}
-    large = {cell: n for cell, n in blocks.items() if n > 1}
-    listed = F.create_map(*(F.lit(x).cast("long") for pair in large.items() for x in pair)) if large else None
-    count = (lambda: F.coalesce(listed[F.col("cell")], F.lit(1).cast("long"))) if large else (lambda: F.lit(1).cast("long"))
-
-    queries = celled.filter(is_query).dropDuplicates(["vec_id", "vector"])
-    shares = max(1, -(-queries.count() // SHARE))
-    share = F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(shares)).alias("share")
-    data = celled.select(
-        "vec_id",
-        "vector",
-        "cell",
-        F.pmod(F.monotonically_increasing_id(), count()).alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))).alias("share"),
+    # One row per pivot (and per length without pivots).
+    summary = celled.groupBy("cell").agg(
+        F.count("*").alias("size"), F.max("apart").alias("radius"), F.count_if(is_query).alias("asked")
     )
-    data = data.groupBy("cell", "block", "share")
+    summary = summary.collect()
+    radii = {row["cell"]: row["radius"] * (1 + 1e-9) + 1e-6 for row in summary}
+    dealt = [(row["cell"], -(-row["size"] // BLOCK), -(-row["asked"] // SHARE)) for row in summary]
+    dealt = F.broadcast(spark.createDataFrame(dealt, "cell long, blocks long, parts long"))
 
-    def solve(asked: DataFrame) -> DataFrame:
-        block = F.explode(F.sequence(F.lit(0).cast("long"), count() - 1)).alias("block")
-        placed = asked.select("query_id", "query", "cell", share, block)
-        found = placed.groupBy("cell", "block", "share").cogroup(data).applyInArrow(_solve(k), HITS)
+    data = celled.join(dealt.select("cell", "blocks"), "cell").select(
+        "cell", "vec_id", "vector", F.pmod(F.monotonically_increasing_id(), "blocks").alias("block")
+    )
+    key = ["home", "part", "cell", "block"]
+
+    def solve(asked: DataFrame, copied: DataFrame) -> DataFrame:
+        """The best hits of queries (home, part, cell, query) in the copies (home, part, cell) of the data."""
+        blocks = asked.join(dealt.select("cell", "blocks"), "cell")
+        blocks = blocks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        placed = blocks.select(*key, "query_id", "query").groupBy(*key)
+        copies = copied.select(*(F.col(c).alias(f"of_{c}") for c in key), "vec_id", "vector").groupBy(*(f"of_{c}" for c in key))
+        found = placed.cogroup(copies).applyInArrow(_solve(k), HITS)
         return _best(found, k)
 
-    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), "cell")
-    near = materialize(solve(asked).select("query_id", "vec_id", "score", "rank"), "own-cell")
+    queries = celled.filter(is_query).dropDuplicates(["vec_id", "vector"]).join(dealt.select("cell", "parts"), "cell")
+    queries = queries.select(
+        F.col("vec_id").alias("query_id"),
+        F.col("vector").alias("query"),
+        F.col("cell").alias("home"),
+        F.pmod(F.xxhash64("vec_id", F.lit(1)), "parts").alias("part"),
+        "apart",
+    )
+    parts = dealt.filter("parts > 0").select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    at_home = data.join(parts, "cell").withColumn("home", F.col("cell"))
+    near = solve(queries.withColumn("cell", F.col("home")), at_home)
+    near = materialize(near.select("query_id", "vec_id", "score", "rank"), "own-cell")
+
     floors = near.filter(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("floor"))
-    floored = asked.join(floors, "query_id", "left").select(
-        "query_id", "query", "cell", F.coalesce("floor", F.lit(float("-inf"))).alias("floor")
+    floored = queries.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    floored = materialize(floored, "floors")
+    groups = floored.groupBy("home", "part", F.size("query").alias("length")).agg(
+        F.max("apart").alias("apart"), F.min("floor").alias("floor")
+    )
+    reached = groups.mapInArrow(_reached(centres, radii), "home long, part long, cell long")
+    routed = floored.join(reached, ["home", "part"]).select("home", "part", "cell", "query_id", "query", "floor")
+    routed = routed.mapInArrow(
+        _needed(centres, radii), "home long, part long, cell long, query_id long, query array<long>"
+    )
+    routed = materialize(routed, "routed")
+    far = solve(routed, data.join(routed.select("home", "part", "cell").distinct(), "cell"))
+    return _best(near.select("query_id", "vec_id", "score").union(far.select("query_id", "vec_id", "score")), k).select(
+        "query_id", "rank", "vec_id", "score"
     )
-    routed = floored.mapInArrow(_route(centres, radii), "query_id long, query array<long>, cell long")
-    far = solve(routed).select("query_id", "vec_id", "score")
-    return _best(near.select("query_id", "vec_id", "score").union(far), k).select("query_id", "rank", "vec_id", "score")

@@ -278,6 +278,23 @@ def test_top_k_equals_all_scores(spark, monkeypatch, block, pivots):
     assert found == best(rows, 5)
 
 
+def test_cells_go_only_where_a_bound_reaches(spark, monkeypatch):
+    """Three clusters far apart: each group of queries needs the cells of its own cluster alone."""
+    monkeypatch.setattr(voronoi, "SHARE", 4)
+    rng = np.random.default_rng(3)
+    corners = np.array([[90.0, 0, 0], [0, 90.0, 0], [0, 0, 90.0]])
+    rows = [(i, [float(x) for x in corners[i % 3] + rng.normal(size=3) * 0.1]) for i in range(600)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    stored = {}
+    keep = voronoi.materialize
+    monkeypatch.setattr(voronoi, "materialize", lambda df, label: stored.setdefault(label, keep(df, label)))
+    found = sorted(map(tuple, voronoi.top_k(frame, F.col("vec_id") % 50 == 0, pivots=12).collect()))
+    assert found == best(rows, 5)
+    cluster = {r["cell"]: r["vec_id"] % 3 for r in stored["cells"].select("cell", "vec_id").collect()}
+    pairs = stored["routed"].select("home", "part", "cell").distinct().collect()
+    assert all(cluster[r["home"]] == cluster[r["cell"]] and r["home"] != r["cell"] for r in pairs)
+
+
 def test_top_k_of_nothing(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert voronoi.top_k(frame, F.col("vec_id") % 50 == 0).count() == 0
