@@ -2,15 +2,15 @@
 
 Pivots are drawn from the data, about one per ``BLOCK`` rows between ``FEWEST`` and ``MOST`` (so that what is broadcast is
 bounded), and every vector belongs to the cell of its nearest pivot. Cells are dealt out in blocks of about ``BLOCK``
-vectors, so that a vector which a third of all rows hold fills many blocks and not one task; the queries of a
-cell are dealt out in groups of about ``SHARE``.
+vectors, so that a vector which a third of all rows hold fills many blocks and not one task. Neighbouring cells form a
+group of about ``SHARE`` queries; a cell with more is a group whose queries are dealt out in parts.
 
-A group is first solved in its own cell, which gives each of its queries a floor: the k-th best score so far. Groups and cells
-are then summarised: number of members, largest distance from the pivot, and for groups the smallest floor. With
+A query is first solved in its own cell, which gives it a floor: the k-th best score so far. Cells are then summarised:
+number of members, largest distance from the pivot, and for the queries of a cell the smallest floor. With
 ``q = p + a`` and ``v = c + b`` around their pivots, ``q.v <= p.c + |p||b| + |a||c| + |a||b|``, so a cell whose summary stays below
-the floor of a group is of no use to any of its queries. For the pairs that remain each query is held against the cell alone
-(``q.c + |q||b|``). A cell is copied to a group only if one of its queries still needs it, and solved there; each block
-returns k rows per query.
+the floor of another's queries is of no use to any of them. For the pairs that remain each query is held against the cell
+alone (``q.c + |q||b|``). A cell is copied to a group, once, only if one of its queries still needs it, and solved there;
+each block returns k rows per query.
 
 Scores are whole numbers: every component x counts as floor(256 * x).
 
@@ -70,6 +70,25 @@ class Pivots:
         return numbers[at], np.sqrt(((points - centres[at]) ** 2).sum(1))
 
 
+def grouped(pivots: Pivots, asked: dict[int, int]) -> dict[int, int]:
+    """The group of each cell: cells are halved along their widest axis until ``SHARE`` queries or one cell are left."""
+    out: dict[int, int] = {}
+    pending = [*pivots.by_length.values(), *((np.array([c]), np.zeros((1, 0))) for c in asked if c < 0)]
+    number = 0
+    while pending:
+        cells, centres = pending.pop()
+        weight = np.array([asked.get(int(c), 0) for c in cells])
+        if len(cells) == 1 or weight.sum() <= SHARE:
+            out.update(dict.fromkeys(cells.tolist(), number))
+            number += 1
+            continue
+        order = centres[:, np.ptp(centres, axis=0).argmax()].argsort(kind="stable")
+        half = int(np.searchsorted(np.cumsum(weight[order]), weight.sum() / 2)) + 1
+        half = min(max(half, 1), len(cells) - 1)
+        pending += [(cells[side], centres[side]) for side in (order[:half], order[half:])]
+    return out
+
+
 def _by_length(column: pa.Array, chunk: int = 8192) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows, matrix) of the vectors of each length."""
     lengths = np.asarray(pa.compute.list_value_length(column))
@@ -100,7 +119,7 @@ def _raised(bound: np.ndarray) -> np.ndarray:
 
 
 def _reached(broadcast, radii: dict[int, float]):
-    """(home, part, cell) of every cell but its own that the bound of a group of queries reaches."""
+    """(home, part, cell) of every other cell that the bound of the queries of a cell reaches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots: Pivots = broadcast.value
@@ -196,7 +215,8 @@ def top_k(
     if pivots is None:
         pivots = min(MOST, max(FEWEST, usable.count() // BLOCK))
     chosen = usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
-    centres = spark.sparkContext.broadcast(Pivots(list(dict.fromkeys(tuple(r["vector"]) for r in chosen))))
+    known = Pivots(list(dict.fromkeys(tuple(r["vector"]) for r in chosen)))
+    centres = spark.sparkContext.broadcast(known)
     celled = usable.mapInArrow(_assign(centres), "vec_id long, vector array<long>, cell long, apart double")
     celled = materialize(celled, "cells")
 
@@ -206,16 +226,17 @@ def top_k(
     )
     summary = summary.collect()
     radii = {row["cell"]: row["radius"] * (1 + 1e-9) + 1e-6 for row in summary}
-    dealt = [(row["cell"], -(-row["size"] // BLOCK), -(-row["asked"] // SHARE)) for row in summary]
-    dealt = F.broadcast(spark.createDataFrame(dealt, "cell long, blocks long, parts long"))
+    group = grouped(known, {row["cell"]: row["asked"] for row in summary})
+    dealt = [(r["cell"], group[r["cell"]], -(-r["size"] // BLOCK), -(-r["asked"] // SHARE)) for r in summary]
+    dealt = F.broadcast(spark.createDataFrame(dealt, "cell long, group long, blocks long, parts long"))
 
     data = celled.join(dealt.select("cell", "blocks"), "cell").select(
         "cell", "vec_id", "vector", F.pmod(F.monotonically_increasing_id(), "blocks").alias("block")
     )
-    key = ["home", "part", "cell", "block"]
+    key = ["group", "part", "cell", "block"]
 
     def solve(asked: DataFrame, copied: DataFrame) -> DataFrame:
-        """The best hits of queries (home, part, cell, query) in the copies (home, part, cell) of the data."""
+        """The best hits of queries (group, part, cell, query) in the copies (group, part, cell) of the data."""
         blocks = asked.join(dealt.select("cell", "blocks"), "cell")
         blocks = blocks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         placed = blocks.select(*key, "query_id", "query").groupBy(*key)
@@ -223,32 +244,32 @@ def top_k(
         found = placed.cogroup(copies).applyInArrow(_solve(k), HITS)
         return _best(found, k)
 
-    queries = celled.filter(is_query).dropDuplicates(["vec_id", "vector"]).join(dealt.select("cell", "parts"), "cell")
+    queries = celled.filter(is_query).dropDuplicates(["vec_id", "vector"]).join(dealt.select("cell", "group", "parts"), "cell")
     queries = queries.select(
+        "group",
         F.col("vec_id").alias("query_id"),
         F.col("vector").alias("query"),
         F.col("cell").alias("home"),
         F.pmod(F.xxhash64("vec_id", F.lit(1)), "parts").alias("part"),
         "apart",
     )
-    parts = dealt.filter("parts > 0").select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    at_home = data.join(parts, "cell").withColumn("home", F.col("cell"))
-    near = solve(queries.withColumn("cell", F.col("home")), at_home)
+    parts = dealt.filter("parts > 0").select("cell", "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    near = solve(queries.withColumn("cell", F.col("home")), data.join(F.broadcast(parts), "cell"))
     near = materialize(near.select("query_id", "vec_id", "score", "rank"), "own-cell")
 
     floors = near.filter(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("floor"))
     floored = queries.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
     floored = materialize(floored, "floors")
-    groups = floored.groupBy("home", "part", F.size("query").alias("length")).agg(
+    homes = floored.groupBy("home", "part", F.size("query").alias("length")).agg(
         F.max("apart").alias("apart"), F.min("floor").alias("floor")
     )
-    reached = groups.mapInArrow(_reached(centres, radii), "home long, part long, cell long")
-    routed = floored.join(reached, ["home", "part"]).select("home", "part", "cell", "query_id", "query", "floor")
+    reached = homes.mapInArrow(_reached(centres, radii), "home long, part long, cell long")
+    routed = floored.join(reached, ["home", "part"]).select("home", "group", "part", "cell", "query_id", "query", "floor")
     routed = routed.mapInArrow(
-        _needed(centres, radii), "home long, part long, cell long, query_id long, query array<long>"
+        _needed(centres, radii), "home long, group long, part long, cell long, query_id long, query array<long>"
     )
     routed = materialize(routed, "routed")
-    far = solve(routed, data.join(routed.select("home", "part", "cell").distinct(), "cell"))
+    far = solve(routed, data.join(routed.select("group", "part", "cell").distinct(), "cell"))
     return _best(near.select("query_id", "vec_id", "score").union(far.select("query_id", "vec_id", "score")), k).select(
         "query_id", "rank", "vec_id", "score"
     )

@@ -279,7 +279,7 @@ def test_top_k_equals_all_scores(spark, monkeypatch, block, pivots):
 
 
 def test_cells_go_only_where_a_bound_reaches(spark, monkeypatch):
-    """Three clusters far apart: each group of queries needs the cells of its own cluster alone."""
+    """Three clusters far apart: each group of queries receives the cells of its own clusters alone, each of them once."""
     monkeypatch.setattr(voronoi, "SHARE", 4)
     rng = np.random.default_rng(3)
     corners = np.array([[90.0, 0, 0], [0, 90.0, 0], [0, 0, 90.0]])
@@ -291,8 +291,20 @@ def test_cells_go_only_where_a_bound_reaches(spark, monkeypatch):
     found = sorted(map(tuple, voronoi.top_k(frame, F.col("vec_id") % 50 == 0, pivots=12).collect()))
     assert found == best(rows, 5)
     cluster = {r["cell"]: r["vec_id"] % 3 for r in stored["cells"].select("cell", "vec_id").collect()}
-    pairs = stored["routed"].select("home", "part", "cell").distinct().collect()
+    pairs = stored["routed"].select("home", "group", "part", "cell").distinct().collect()
     assert all(cluster[r["home"]] == cluster[r["cell"]] and r["home"] != r["cell"] for r in pairs)
+    groups = {r["group"] for r in stored["floors"].select("group").collect()}
+    copies = {(r["group"], r["part"], r["cell"]) for r in pairs}
+    assert len(groups) >= 3 and len(copies) < len(groups) * len(cluster) / 2
+
+
+def test_neighbouring_cells_share_a_group(monkeypatch):
+    monkeypatch.setattr(voronoi, "SHARE", 10)
+    points = [(0, 0), (1, 0), (0, 1), (50, 0), (51, 1), (0, 90)]
+    known = voronoi.Pivots(points)
+    group = voronoi.grouped(known, {0: 3, 1: 3, 2: 3, 3: 4, 4: 5, 5: 30, -4: 2})
+    assert group[0] == group[1] == group[2] and group[3] == group[4] and len(set(group.values())) == 4
+    assert set(group) == {0, 1, 2, 3, 4, 5, -4}
 
 
 def test_top_k_of_nothing(spark):
