@@ -1,16 +1,16 @@
 """Text quality by a byte-level convolutional network in numpy.
 
-A text is cut into overlapping chunks of ``CHUNK`` bytes that cover it from the first byte to the last. Each byte has
-fixed channels (its class, and whether its word repeats the word before); learned filters of
-``WIDTH`` bytes slide over them with stride ``STRIDE``, and each filter keeps its largest activation in every chunk.
-The largest and the mean of these over the chunks feed one logistic unit.
+A text is cut into overlapping chunks of ``CHUNK`` bytes that cover it from the first byte to the last. Each byte enters
+as ``EMBEDDED`` learned numbers of its own, beside fixed channels (its class, and whether its word repeats the word before);
+learned filters of ``WIDTH`` bytes slide over them with stride ``STRIDE``, and each filter keeps its largest activation in
+every chunk. The largest and the mean of these over the chunks feed one logistic unit.
 
-Filters and unit are trained together by gradient descent (Adam) through the maxima, on at most
+Embedding, filters and unit are trained together by gradient descent (Adam) through the maxima, on at most
 ``max_documents`` labelled texts per class of at most ``max_bytes`` bytes each; scoring covers every whole text. Labels
 of rows that ``trainable`` excludes are never read.
 
 Defined cases: a null text is empty; an empty text has no activation, so the unit's bias gives its score; null ids
-or labels teach nothing; without labels of both classes every score is 1; repeated rows are each scored; columns
+or labels teach nothing; of the texts under one id the least teaches; without labels of both classes every score is 1; repeated rows are each scored; columns
 other than the id and the text are ignored.
 """
 
@@ -44,49 +44,55 @@ CLASS[[ord(c) for c in "!?"]] = 6
 CLASS[[ord(c) for c in "#$%&*|<>=_~^"]] = 7
 CLASS[128:192] = 8
 CLASS[192:] = 9
-CHANNELS = 11
-ONE_HOT = np.zeros((256, CHANNELS), dtype=np.float32)
-ONE_HOT[np.arange(256), CLASS] = 1
+FIXED = 11
+EMBEDDED = 4
+CHANNELS = FIXED + EMBEDDED
+BEYOND = 256  # stands for bytes beyond the text
 
 
-def channels(group: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(channels of each byte, start and size of each text)."""
-    data, starts = joined(group)
-    out = ONE_HOT[data]
+def repeated_words(data: np.ndarray) -> np.ndarray:
+    """1 at each byte of a word that repeats the word before it, else 0."""
+    mark = np.zeros(len(data) + 1, dtype=np.int32)
     first, last = word_spans(CLASS[data] != 4)
     if len(first):
         hashes = span_hashes(data, first, last)
         same = np.zeros(len(first), dtype=bool)
         same[1:] = hashes[1:] == hashes[:-1]
-        mark = np.zeros(len(data) + 1, dtype=np.int32)
         mark[first[same]] += 1
         mark[last[same]] -= 1
-        out[:, CHANNELS - 1] = np.cumsum(mark)[:-1]
-    return out, starts, np.array([len(x) for x in group], dtype=np.int64)
+    return np.cumsum(mark)[:-1]
 
 
-def windows(group: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(inputs of each filter position, number of chunks of each text): positions go by chunk, STEPS each.
+def chunked(group: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of each chunk, marks of repeated words, number of chunks of each text).
 
-    Chunks begin every STRIDE * STEPS bytes and overlap by WIDTH - STRIDE; what lies beyond the text is zero."""
-    values, starts, sizes = channels(group)
+    Chunks begin every STRIDE * STEPS bytes and overlap by WIDTH - STRIDE."""
+    data, starts = joined(group)
+    sizes = np.array([len(x) for x in group], dtype=np.int64)
     advance = STRIDE * STEPS
     counts = np.where(sizes > 0, np.maximum(1, -(-(sizes - WIDTH + STRIDE) // advance)), 0)
-    total = int(counts.sum())
-    if not total:
-        return np.zeros((0, WIDTH * CHANNELS), dtype=np.float32), counts
     row = np.repeat(np.arange(len(group)), counts)
-    within = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
-    padded = np.zeros((total, CHUNK, CHANNELS), dtype=np.float32)
+    within = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
     at = (within * advance)[:, None] + np.arange(CHUNK)
     inside = at < sizes[row][:, None]
-    padded[inside] = values[(starts[row][:, None] + at)[inside]]
-    rolled = np.lib.stride_tricks.sliding_window_view(padded, WIDTH, axis=1)[:, ::STRIDE]
-    return rolled.transpose(0, 1, 3, 2).reshape(total * STEPS, WIDTH * CHANNELS), counts
+    at = np.minimum(at + starts[row][:, None], len(data) - 1)
+    return np.where(inside, data[at], np.int16(BEYOND)), repeated_words(data)[at] * inside, counts
+
+
+def windows(codes: np.ndarray, repeated: np.ndarray, embedding: np.ndarray) -> np.ndarray:
+    """The inputs of each filter position, STEPS to a chunk; what lies beyond the text is zero."""
+    known = np.zeros((BEYOND + 1, CHANNELS), dtype=np.float32)
+    known[np.arange(BEYOND), CLASS] = 1
+    known[:BEYOND, FIXED:] = embedding
+    values = known[codes]
+    values[:, :, FIXED - 1] = repeated
+    rolled = np.lib.stride_tricks.sliding_window_view(values, WIDTH, axis=1)[:, ::STRIDE]
+    return rolled.transpose(0, 1, 3, 2).reshape(len(codes) * STEPS, WIDTH * CHANNELS)
 
 
 @dataclass
 class Network:
+    embedding: np.ndarray
     filters: np.ndarray
     offsets: np.ndarray
     unit: np.ndarray
@@ -94,7 +100,8 @@ class Network:
 
     def pooled(self, group: list[bytes]) -> tuple[np.ndarray, tuple]:
         """(largest and mean activation of each text, what the gradient needs)."""
-        inputs, counts = windows(group)
+        codes, repeated, counts = chunked(group)
+        inputs = windows(codes, repeated, self.embedding)
         active = (inputs @ self.filters + self.offsets).reshape(-1, STEPS, FILTERS)
         best = active.argmax(1)
         tops = np.maximum(np.take_along_axis(active, best[:, None], 1)[:, 0], 0)
@@ -104,7 +111,7 @@ class Network:
             edges = (np.cumsum(counts) - counts)[held]
             out[held, :FILTERS] = np.maximum.reduceat(tops, edges)
             out[held, FILTERS:] = np.add.reduceat(tops, edges) / counts[held][:, None]
-        return out, (inputs, counts, best, tops)
+        return out, (codes, inputs, counts, best, tops)
 
     def scores(self, group: list[bytes]) -> np.ndarray:
         value = self.pooled(group)[0].astype(np.float64) @ self.unit + self.bias
@@ -112,27 +119,42 @@ class Network:
 
 
 ALWAYS = Network(
-    np.zeros((WIDTH * CHANNELS, FILTERS), dtype=np.float32), np.zeros(FILTERS, dtype=np.float32), np.zeros(2 * FILTERS), 40.0
+    np.zeros((BEYOND, EMBEDDED), dtype=np.float32),
+    np.zeros((WIDTH * CHANNELS, FILTERS), dtype=np.float32),
+    np.zeros(FILTERS, dtype=np.float32),
+    np.zeros(2 * FILTERS),
+    40.0,
 )
 
 
+def embedding_slope(net: Network, codes: np.ndarray, best: np.ndarray, per_chunk: np.ndarray) -> np.ndarray:
+    """The gradient of the embedding: what reaches each byte under the best position of a filter."""
+    chunk, at = np.nonzero(per_chunk)
+    weights = net.filters.reshape(WIDTH, CHANNELS, FILTERS)[:, FIXED:].transpose(2, 0, 1)
+    reaching = per_chunk[chunk, at][:, None, None] * weights[at]
+    under = codes[chunk[:, None], (best[chunk, at] * STRIDE)[:, None] + np.arange(WIDTH)].ravel()
+    sums = [np.bincount(under, reaching[:, :, i].ravel(), BEYOND + 1)[:BEYOND] for i in range(EMBEDDED)]
+    return np.stack(sums, axis=1)
+
+
 def train(texts: list[bytes], good: np.ndarray, epochs: int = 10, rate: float = 0.01) -> Network:
     """A network fitted to texts of both classes, which weigh alike."""
     rng = np.random.default_rng(11)
     net = Network(
+        (rng.normal(size=(BEYOND, EMBEDDED)) * 0.3).astype(np.float32),
         (rng.normal(size=(WIDTH * CHANNELS, FILTERS)) / np.sqrt(WIDTH)).astype(np.float32),
         np.zeros(FILTERS, dtype=np.float32),
         rng.normal(size=2 * FILTERS) * 0.1,
         0.0,
     )
     weight = np.where(good, 0.5 / good.mean(), 0.5 / (1 - good.mean()))
-    moments = [[0.0, 0.0] for _ in range(4)]
+    moments = [[0.0, 0.0] for _ in range(5)]
     step = 0
     for epoch in range(epochs):
         order = rng.permutation(len(texts))
         for a in range(0, len(order), 48):
             rows = order[a : a + 48]
-            out, (inputs, counts, best, tops) = net.pooled([texts[i] for i in rows])
+            out, (codes, inputs, counts, best, tops) = net.pooled([texts[i] for i in rows])
             p = 1 / (1 + np.exp(-np.clip(out @ net.unit + net.bias, -30, 30)))
             slope = weight[rows] * (p - good[rows]) / len(rows)
             back = slope[:, None] * net.unit
@@ -144,14 +166,14 @@ def train(texts: list[bytes], good: np.ndarray, epochs: int = 10, rate: float =
             grad = np.stack([inputs[at[:, f]].T @ per_chunk[:, f] for f in range(FILTERS)], axis=1)
             step += 1
             rate_now = rate * (1 - epoch / epochs)
-            grads = [grad, per_chunk.sum(0), out.T @ slope + 1e-4 * net.unit, slope.sum()]
-            values = [net.filters, net.offsets, net.unit, net.bias]
+            grads = [embedding_slope(net, codes, best, per_chunk), grad, per_chunk.sum(0), out.T @ slope + 1e-4 * net.unit, slope.sum()]
+            values = [net.embedding, net.filters, net.offsets, net.unit, net.bias]
             for i, g in enumerate(grads):
                 moments[i][0] = 0.9 * moments[i][0] + 0.1 * g
                 moments[i][1] = 0.99 * moments[i][1] + 0.01 * g * g
                 first, second = moments[i][0] / (1 - 0.9**step), moments[i][1] / (1 - 0.99**step)
                 values[i] = values[i] - rate_now * first / (np.sqrt(second) + 1e-8)
-            net = Network(values[0].astype(np.float32), values[1].astype(np.float32), values[2], float(values[3]))
+            net = Network(*(v.astype(np.float32) for v in values[:3]), values[3], float(values[4]))
     return net
 
 
@@ -162,7 +184,7 @@ def fit(
     sample = F.broadcast(labelled_sample(labels, "quality", trainable, max_documents))
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     texts = texts.filter(F.octet_length("text").between(1, max_bytes)).join(sample, "doc_id")
-    rows = texts.dropDuplicates(["doc_id"]).select("doc_id", "text", "label").collect()
+    rows = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: r["doc_id"])
     good = np.array([r["label"] == 1 for r in rows], dtype=bool)
     if not good.any() or good.all():

@@ -246,10 +246,11 @@ def test_classifiers_without_labels(spark, module):
 
 def test_chunks_cover_the_text():
     for size in (1, 11, 12, 13, 263, 264, 265, 266, 520, 5000):
-        inputs, counts = quality.windows([bytes([97 + i % 26 for i in range(size)])])
+        codes, repeated, counts = quality.chunked([bytes([97 + i % 26 for i in range(size)])])
+        inputs = quality.windows(codes, repeated, np.zeros((256, quality.EMBEDDED)))
         seen = inputs.reshape(-1, quality.WIDTH, quality.CHANNELS)[:, :, 1].sum()
         assert counts[0] * quality.STRIDE * quality.STEPS + quality.WIDTH - quality.STRIDE >= size and seen >= size
-    assert quality.windows([b""])[1].tolist() == [0]
+    assert quality.chunked([b""])[2].tolist() == [0]
 
 
 # --- top-k -----------------------------------------------------------------------------------------------
