@@ -57,26 +57,27 @@ def _priced(spark, folder):
 
 def _classify(spark, folder, build, labelled, scale):
     """Fit on four fifths of the orders and score the rest; one row of counts and rates."""
-    train, test = split_by_key(labelled(spark, folder), "l_orderkey", 80)
+    lines = labelled(spark, folder)
+    partitions = partitions_for(lines)
+    train, test = split_by_key(lines, "l_orderkey", 80)
     features = feature_pipeline(_NUMBERS, encode=_TEXTS, label="price").fit(train)
     if scale:
         features = scaled(features, train)
-    vectors = features.transform(train).select(FEATURES, indexed("price"))
-    vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = features.transform(spread(train, partitions)).select(FEATURES, indexed("price"))
+    vectors.persist(StorageLevel.DISK_ONLY)  # the trainer keeps a form of its own in memory
     model = build(vectors).fit(vectors)
     vectors.unpersist()
     high = float(label_texts(features, "price").index("high"))
-    scored = chain(features, model).transform(test)
+    scored = chain(features, model).transform(spread(test, partitions))
     return confusion_rates(scored, indexed("price"), "prediction", high)
 
 
 def _ruled(spark, folder):
     """Lines with a label that is a rule over features with few values, so that a tree can learn all of it."""
     rule = (F.col("l_discount") > 0.05) & (F.col("l_returnflag") != "R")
-    lines = table(spark, folder, "lineitem").select(
+    return table(spark, folder, "lineitem").select(
         "l_orderkey", *_TEXTS, *_NUMBERS, F.when(rule, "high").otherwise("low").alias("price")
     )
-    return spread(lines, partitions_for(lines))
 
 
 _RULED = """

@@ -7,7 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from prepmill.catalog import ENTRIES
+from prepmill import operators
+from prepmill.catalog import ENTRIES, models
 from prepmill.operators import group_median, impute_group_median
 
 FOLDER = "/root/testdata/sf0.001"
@@ -88,3 +89,47 @@ def test_medians_are_broadcast_only_below_the_threshold(spark, limit):
         spark.conf.set(key, before)
     assert len(rows) == lines.count()
     assert all(r.filled == (medians[r.flag] if r.quantity is None else r.quantity) for r in rows)
+
+
+@pytest.fixture(scope="module")
+def lines(spark, tmp_path_factory):
+    """A folder with line items of the test's own."""
+    n, folder = F.col("id"), str(tmp_path_factory.mktemp("lines"))
+    spark.range(4000).select(
+        F.floor(n / 4).alias("l_orderkey"),
+        (n * 7 % 200).alias("l_partkey"),
+        (n * 11 % 90).alias("l_suppkey"),
+        (n % 7 + 1).cast("int").alias("l_linenumber"),
+        (n * 13 % 50 + 1).cast("double").alias("l_quantity"),
+        (n * 7919 % 100000 + 900).cast("double").alias("l_extendedprice"),
+        (n * 3 % 11 / 100).alias("l_discount"),
+        (n * 5 % 9 / 100).alias("l_tax"),
+        F.element_at(F.array(*map(F.lit, "ANR")), (n * 17 % 3 + 1).cast("int")).alias("l_returnflag"),
+        F.when(n * 19 % 2 == 0, "O").otherwise("F").alias("l_linestatus"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    return folder
+
+
+def test_training_partitions_follow_the_size(spark):
+    """More than the cores of a small cluster for a table of 40 MB, in proportion beyond."""
+    assert [operators.partitions_for(spark.range(n)) for n in (1000, 5_000_000, 50_000_000)] == [8, 20, 191]
+
+
+def test_training_vectors_leave_the_memory_to_the_trainer(spark, lines, monkeypatch):
+    """Features are fitted and rows split before the shuffle, and the vectors are kept on disk."""
+    seen, fitted = [], []
+
+    def build(label, train):
+        seen.append((train.storageLevel.useMemory, train.storageLevel.useDisk, train.rdd.getNumPartitions()))
+        return operators.decision_tree(label)
+
+    def scaled(features, train):
+        fitted.append(plan(train))
+        return operators.scaled(features, train)
+
+    monkeypatch.setattr(models, "perceptron", build)
+    monkeypatch.setattr(models, "scaled", scaled)
+    monkeypatch.setattr(models, "partitions_for", lambda rows: 23)
+    row = models.ml_mlp(spark, lines).first()
+    assert seen == [(False, True, 23)] and "Exchange" not in fitted[0]
+    assert row["actual_high"] + row["actual_low"] == 800  # orders 80 to 99 of every hundred
