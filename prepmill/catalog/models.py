@@ -124,7 +124,9 @@ def ml_model_save_load(spark, folder):
     """A saved and reloaded model predicts what the fitted one does, for every row."""
     priced = _priced(spark, folder)
     features = feature_pipeline(_NUMBERS, encode=_TEXTS, label="price").fit(priced)
-    tree = decision_tree(indexed("price")).fit(features.transform(priced))
+    # a scan puts many files in one partition, and the trainer holds a partition's rows in a form ten times as large
+    dealt = spread(priced, partitions_for(priced))
+    tree = decision_tree(indexed("price")).fit(features.transform(dealt))
     model = chain(features, tree)
     path = scratch_path(spark, "model")
     save_model(model, path)

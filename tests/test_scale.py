@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
 from prepmill import operators
@@ -115,6 +116,21 @@ def test_training_partitions_follow_the_size(spark):
     assert [operators.partitions_for(spark.range(n)) for n in (1000, 5_000_000, 50_000_000)] == [8, 20, 191]
 
 
+def test_a_saved_tree_is_trained_on_dealt_rows(spark, lines, monkeypatch):
+    """Not on the partitions of a scan, which packs files up to its own bound."""
+    seen = []
+
+    class Tree(DecisionTreeClassifier):
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+            return super().fit(rows)
+
+    monkeypatch.setattr(models, "decision_tree", lambda label: Tree(labelCol=label, seed=1))
+    monkeypatch.setattr(models, "partitions_for", lambda rows: 37)
+    found = models.ml_model_save_load(spark, lines).collect()
+    assert seen == [37] and sum(r["rows"] for r in found) == 4000 and all(r["rows"] == r["same"] for r in found)
+
+
 def test_training_vectors_leave_the_memory_to_the_trainer(spark, lines, monkeypatch):
     """Features are fitted and rows split before the shuffle, and the vectors are kept on disk."""
     seen, fitted = [], []
