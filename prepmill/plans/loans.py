@@ -140,7 +140,7 @@ def compare_classifiers(
     charged_off = float(label_texts(features, LABEL).index(CHARGED_OFF))
     trained = features.transform(train).select(FEATURES, indexed(LABEL))
     vectors = spread(trained, partitions or partitions_for(train))
-    vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors.persist(StorageLevel.DISK_ONLY)  # each trainer keeps a form of its own in memory
     label = indexed(LABEL)
     models = {
         "decision_tree": decision_tree(label).fit(vectors),

@@ -9,7 +9,7 @@ from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
 from prepmill import operators
-from prepmill.catalog import ENTRIES, models
+from prepmill.catalog import ENTRIES, jobs, models
 from prepmill.operators import group_median, impute_group_median
 
 FOLDER = "/root/testdata/sf0.001"
@@ -149,3 +149,16 @@ def test_training_vectors_leave_the_memory_to_the_trainer(spark, lines, monkeypa
     row = models.ml_mlp(spark, lines).first()
     assert seen == [(False, True, 23)] and "Exchange" not in fitted[0]
     assert row["actual_high"] + row["actual_low"] == 800  # orders 80 to 99 of every hundred
+
+
+def test_loans_are_prepared_once(spark, lines, monkeypatch):
+    seen = []
+
+    def compare(prepared):
+        seen.append(plan(prepared))
+        counts = ["actual_positive", "actual_negative", "true_positive", "true_negative", "false_positive", "false_negative"]
+        return prepared.agg(F.lit("decision_tree").alias("model"), *[F.count(F.lit(1)).alias(c) for c in counts])
+
+    monkeypatch.setattr(jobs, "compare_classifiers", compare)
+    row = jobs.job_compare_classifiers(spark, lines).first()
+    assert "cast(" not in seen[0] and "/prepared-" in seen[0] and 0 < row["complete"] < 4000
