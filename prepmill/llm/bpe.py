@@ -25,14 +25,14 @@ import heapq
 import struct
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prepmill.llm.textbytes import span_hashes
+from prepmill.llm.textbytes import listed, span_hashes, tidy
 
 CHUNK_CHARS = 1 << 19
 CACHE_PIECES = 250_000
@@ -323,7 +323,7 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def text_groups(texts: list, limit: int = CHUNK_CHARS) -> Iterator[list[str]]:
+def text_groups(texts: Iterable, limit: int = CHUNK_CHARS) -> Iterator[list[str]]:
     """Neighbouring texts of about ``limit`` characters together; null as the empty text."""
     group, size = [], 0
     for text in texts:
@@ -343,7 +343,7 @@ def _encoder(path: str, id_column: str, decoded: bool):
         try:
             for batch in batches:
                 done = 0
-                for group in text_groups(batch.column(1).to_pylist()):
+                for group in text_groups(listed(batch.column(1))):
                     ids, bounds = known.encode(group)
                     ends = np.cumsum(known.lengths[ids])
                     base = np.append(0, ends)[bounds[:-1]]
@@ -372,7 +372,7 @@ def encode(
     chosen = documents.select(id_column, F.col(text_column).cast("string").alias("text"))
     kind = chosen.schema[0].dataType.simpleString()
     schema = f"`{id_column}` {kind}, ids array<int>, ends array<int>" + (", decoded binary" if decoded else "")
-    return chosen.mapInArrow(_encoder(path, id_column, decoded), schema)
+    return chosen.mapInArrow(tidy(_encoder(path, id_column, decoded)), schema)
 
 
 def decode(encoded: DataFrame, path: str, ids_column: str = "ids") -> DataFrame:
@@ -393,4 +393,4 @@ def decode(encoded: DataFrame, path: str, ids_column: str = "ids") -> DataFrame:
     schema = "".join(f"`{c}` {fields[c]}, " for c in kept)
     ids = F.array_compact(F.col(f"`{ids_column}`")).alias("ids")
     numbered = encoded.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), ids)  # mapInArrow takes no dotted names
-    return numbered.mapInArrow(run, f"{schema}decoded binary")
+    return numbered.mapInArrow(tidy(run), f"{schema}decoded binary")

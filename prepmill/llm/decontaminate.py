@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prepmill.llm.textbytes import LOWER, chunks, joined, row_hashes, span_hashes, word_spans
+from prepmill.llm.textbytes import LOWER, chunks, joined, listed, row_hashes, span_hashes, tidy, word_spans
 from prepmill.sources.storage import materialize
 
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -88,7 +88,7 @@ def _scanner(block) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
         maybe[known.hashes >> np.uint64(64 - FILTER_BITS)] = True
         for batch in batches:
             rows = {name: batch.column(name).to_pylist() for name in OUTPUTS}
-            for first, group in chunks(batch.column("text").to_pylist()):
+            for first, group in chunks(listed(batch.column("text"))):
                 _scan_group(known, maybe, rows, first, group)
             fields = {f.name: f for f in batch.schema}
             columns = [
@@ -175,7 +175,7 @@ def scan_documents(
     for block, (low, high) in enumerate(itertools.pairwise(cuts)):
         rows = windows.filter(F.col("mark").between(low, high - 1)).drop("mark").collect()
         known = spark.sparkContext.broadcast(WindowSet(rows))
-        scanned = scanned.mapInArrow(_scanner(known), scanned.schema)
+        scanned = scanned.mapInArrow(tidy(_scanner(known)), scanned.schema)
         if block + 1 < blocks:
             scanned = materialize(scanned, "scanned")
             known.destroy()

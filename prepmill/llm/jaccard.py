@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prepmill.llm.components import components
-from prepmill.llm.textbytes import LOWER, chunks, joined, mixed, prime_hashes, row_hashes, word_spans
+from prepmill.llm.textbytes import LOWER, chunks, joined, listed, mixed, prime_hashes, row_hashes, tidy, word_spans
 from prepmill.sources.storage import materialize
 
 COUNTERS = 1 << 20
@@ -76,7 +76,7 @@ def _count(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
-            for _, group in chunks(batch.column(0).to_pylist()):
+            for _, group in chunks(listed(batch.column(0))):
                 _, hashes = shingle_sets(group, n)
                 total += np.bincount((hashes % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         width = COUNTERS // SLICES
@@ -106,7 +106,7 @@ def rarity(texts: DataFrame, n: int) -> np.ndarray:
     """A level for each hashed counter of n-grams, higher for more documents. One byte each, so the result
     has ``COUNTERS`` bytes whatever the corpus."""
     schema = "slice int, counts binary"
-    counted = texts.mapInArrow(_count(n), "slice int, tasks int, counts binary")
+    counted = texts.mapInArrow(tidy(_count(n)), "slice int, tasks int, counts binary")
     added = counted.groupBy("slice", "tasks").applyInArrow(_add, schema)
     parts = added.groupBy("slice").applyInArrow(_levels, schema).collect()
     levels = np.zeros((SLICES, COUNTERS // SLICES), dtype=np.uint8)
@@ -120,7 +120,7 @@ def _prefixes(n: int, percent: int, broadcast):
         levels = broadcast.value
         seen: set[bytes] = set()
         for batch in batches:
-            for first, group in chunks(batch.column(1).to_pylist()):
+            for first, group in chunks(listed(batch.column(1))):
                 rows, hashes = shingle_sets(group, n)
                 sizes = np.bincount(rows, minlength=len(group))
                 ends = np.cumsum(sizes)
@@ -168,7 +168,7 @@ def _prefixes(n: int, percent: int, broadcast):
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts in compressed form, which is a fraction of the size of their sets of hashes."""
     for batch in batches:
-        for first, group in chunks(batch.column(1).to_pylist()):
+        for first, group in chunks(listed(batch.column(1))):
             packed = pa.array([zlib.compress(x, 6) for x in group], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(group)), packed], names=["node", "packed"])
 
@@ -214,10 +214,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, pe
     nodes = materialize(near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), "nodes")
     few = nodes.count() <= MOST_IDS
     wanted = texts.join(F.broadcast(nodes) if few else nodes, texts["doc_id"] == nodes["id"]).select("doc_id", "text")
-    held = materialize(wanted.mapInArrow(_packed, "node long, packed binary"), "near-texts")
+    held = materialize(wanted.mapInArrow(tidy(_packed), "node long, packed binary"), "near-texts")
     left = near.join(held.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a")
     whole = left.join(held.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
-    links = whole.select("a", "b", "x", "y").mapInArrow(_linked(n, percent), "a long, b long")
+    links = whole.select("a", "b", "x", "y").mapInArrow(tidy(_linked(n, percent)), "a long, b long")
     return materialize(links.distinct(), "verified")
 
 
@@ -263,7 +263,7 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     levels = spark.sparkContext.broadcast(rarity(texts.select("text"), n))
-    sets = materialize(texts.mapInArrow(_prefixes(n, percent, levels), SETS), "prefixes")
+    sets = materialize(texts.mapInArrow(tidy(_prefixes(n, percent, levels)), SETS), "prefixes")
 
     named = sets.filter("doc_id is not null and signature is not null")
     classes = named.groupBy("signature").agg(

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prepmill.llm.textbytes import LOWER, chunks, joined, word_spans
+from prepmill.llm.textbytes import LOWER, chunks, joined, listed, tidy, word_spans
 
 DECAY = 0.85
 REACH = 6
@@ -347,14 +347,14 @@ def fit(
         return NEVER
     model = _fit_words(witnesses, clean, landmarks, max_shown)
     broadcast = documents.sparkSession.sparkContext.broadcast(model)
-    rows = texts.select("text", "label").mapInArrow(_decide(broadcast), "label int, decision double").collect()
+    rows = texts.select("text", "label").mapInArrow(tidy(_decide(broadcast)), "label int, decision double").collect()
     return _calibrated(model, np.array([r["decision"] for r in rows]), np.array([r["label"] == 1 for r in rows]))
 
 
 def _decide(broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [broadcast.value.decisions(g) for _, g in chunks(batch.column(0).to_pylist())]
+            values = [broadcast.value.decisions(g) for _, g in chunks(listed(batch.column(0)))]
             column = pa.array(np.concatenate(values) if values else np.zeros(0))
             yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), column], names=["label", "decision"])
 
@@ -368,12 +368,12 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Model = broadcast.value
         for batch in batches:
-            for first, group in chunks(batch.column(1).to_pylist()):
+            for first, group in chunks(listed(batch.column(1))):
                 column = pa.array(known.scores(known.decisions(group)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(group)), column], names=["doc_id", "score"])
 
     chosen = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(run, "doc_id long, score double")
+    return chosen.mapInArrow(tidy(run), "doc_id long, score double")
 
 
 def without_toxic(documents: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -386,7 +386,7 @@ def without_toxic(documents: DataFrame, model: Model, threshold: float = 0.5) ->
         for batch in batches:
             for first in range(0, batch.num_rows, 1024):
                 part = batch.slice(first, 1024)
-                values = [known.scores(known.decisions(g)) < threshold for _, g in chunks(part.column(at).to_pylist())]
+                values = [known.scores(known.decisions(g)) < threshold for _, g in chunks(listed(part.column(at)))]
                 yield part.filter(pa.array(np.concatenate(values)))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(tidy(run), documents.schema)
