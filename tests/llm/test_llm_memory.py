@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from prepmill.llm import textbytes
+from prepmill.llm import suffixes, textbytes
 
 
 def own_memory():
@@ -57,3 +59,15 @@ def test_listed_gives_every_value():
     assert list(textbytes.listed(pa.array(values))) == values
     assert list(textbytes.listed(pa.chunked_array([values[:5], values[5:]]))) == values
     assert list(textbytes.listed(pa.array([], pa.string()))) == []
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 500])
+def test_a_part_sends_a_hash_once_or_twice(n):
+    rng = random.Random(n)
+    hashes = [rng.choice([rng.getrandbits(64), 7, 2**63 + 5]) for _ in range(n)]
+    found = Counter()
+    for part, bucket, raw, kind in suffixes._send(3, np.array(hashes, dtype=np.uint64), 11, np.uint64):
+        own = np.frombuffer(raw, dtype=np.uint64).tolist()
+        assert (part, kind) == (3, "asked") and own and all(x % 11 == bucket for x in own)
+        found.update(own)
+    assert found == {x: min(k, 2) for x, k in Counter(hashes).items()}
